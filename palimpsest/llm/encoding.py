@@ -408,6 +408,8 @@ def _label(texts: DataFrame, restore: bool) -> DataFrame:
         lab = holder[0]
         for pdf in batches:
             bad = pdf[[lab.damaged(t) for t in pdf["text"]]]
+            if not len(bad):
+                continue
             if not restore:
                 yield bad[["src_table", "row_key"]]
             else:
