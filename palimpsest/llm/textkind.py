@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import checkpoint
+
 KINDS = ("prose", "list", "table", "junk")
 
 # Common words of running text (English, French, German, Spanish).
@@ -31,6 +33,8 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
     """The rows with one column per statistic added (all prefixed ``s_``)."""
     t = F.col(text)
     count = lambda p: F.regexp_count(t, F.lit(p)).cast("double")
+    # characters of a class: what is left when runs of all others are taken out
+    only = lambda others: F.length(F.regexp_replace(t, others, "")).cast("double")
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"\S"))
     n_lines = F.size(F.col("_lines")).cast("double")
@@ -46,16 +50,17 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("_tokens", F.filter(F.split(F.btrim(F.regexp_replace(t, r"(?U)\s+", " ")), " "), lambda x: x != ""))
     )
     n_tokens, n_words = F.size(tokens).cast("double"), F.size("_words").cast("double")
-    visible = count(r"(?U)\S")
+    visible = only(r"(?U)\s+")
+    letters = only(r"\P{L}+")
     return out.withColumns(
         {
             "s_chars": F.length(t).cast("double"),
             "s_lines": n_lines,
             "s_words": n_words,
             "s_word_length": ratio(F.length(F.array_join("_words", "")).cast("double"), n_words),
-            "s_symbols": ratio(count(r"[^\p{L}\p{M}\p{N}\s\p{Z}.,;:!?'’“”\"()\-–]"), visible),
-            "s_letters": ratio(count(r"\p{L}"), visible),
-            "s_vowels": ratio(count(r"(?i)[aeiouyà-åè-ïò-öù-üæøœаеиоуыэюяё]"), count(r"\p{L}")),
+            "s_symbols": ratio(only(r"[\p{L}\p{M}\p{N}\s\p{Z}.,;:!?'’“”\"()\-–]+"), visible),
+            "s_letters": ratio(letters, visible),
+            "s_vowels": ratio(only(r"[^aeiouyAEIOUYÀ-ÅÈ-ÏÒ-ÖÙ-Üà-åè-ïò-öù-üæøœÆØŒаеиоуыэюяёАЕИОУЫЭЮЯЁ]+"), letters),
             "s_figures": ratio(F.size(F.filter(tokens, lambda x: x.rlike(r"^[(<≤≥±~]*[0-9][0-9.,:%–-]*[)]?$|^[–-]$|^n\.a\.$"))).cast("double"), n_tokens),
             "s_common": ratio(F.size(F.filter("_words", lambda x: x.isin(COMMON_WORDS))).cast("double"), n_words),
             "s_distinct": ratio(F.size(F.array_distinct("_words")).cast("double"), n_words),
@@ -138,16 +143,20 @@ def learn(patterns: list[tuple[str, int]], rounds: int = 200, prior_strength: fl
     return {pattern: post[i] for i, (pattern, _) in enumerate(patterns)}
 
 
-def classified(rows: DataFrame, *, text: str = "text") -> DataFrame:
-    """The rows with statistics, text_kind and the posterior of each kind."""
-    voted = votes(statistics(rows.where(F.col(text).isNotNull()), text))
+def classified(rows: DataFrame, keep: list[str], *, text: str = "text") -> DataFrame:
+    """The columns to keep (texts may be left out) with text_kind and the posterior of each kind.
+
+    The statistics are computed once; the kept columns and the votes are
+    written to the shared folder, counted there and read again.
+    """
+    voted = checkpoint(votes(statistics(rows.where(F.col(text).isNotNull()), text)).select(*keep, "pattern"))
     # rows of this table: patterns of votes, at most 2 ** (number of functions), in practice a few hundred
     table = [(r["pattern"], r["n"]) for r in voted.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()]
     post = learn(table) if table else {}
     spark = rows.sparkSession
     schema = "pattern string, text_kind string, " + ", ".join(f"p_{k} double" for k in KINDS)
     lookup = spark.createDataFrame([(p, KINDS[int(v.argmax())], *map(float, v)) for p, v in post.items()], schema)
-    return voted.join(F.broadcast(lookup), "pattern")
+    return voted.join(F.broadcast(lookup), "pattern").drop("pattern")
 
 
 #: Types of knowledge rows whose kind is asked for.
@@ -156,10 +165,11 @@ RUNNING_TYPES = ("paragraph", "requirement", "text_block")
 
 def found(knowledge: DataFrame) -> DataFrame:
     """(stable_internal_id, text_kind) of running records whose text is no prose."""
-    rows = knowledge.where(F.col("record_type").isin(*RUNNING_TYPES) & F.col("stable_internal_id").isNotNull()).select("stable_internal_id", "record_type", "text")
-    return classified(rows).where("text_kind <> 'prose'").select("stable_internal_id", "text_kind").distinct()
+    rows = knowledge.where(F.col("record_type").isin(*RUNNING_TYPES) & F.col("stable_internal_id").isNotNull()).select("stable_internal_id", "text")
+    return classified(rows, ["stable_internal_id"]).where("text_kind <> 'prose'").select("stable_internal_id", "text_kind").distinct()
 
 
 def quality_table(knowledge: DataFrame) -> DataFrame:
     """Statistics and posteriors of every knowledge row."""
-    return classified(knowledge.select("stable_internal_id", "record_type", "text")).select("stable_internal_id", "record_type", "text_kind", *[f"p_{k}" for k in KINDS], *STATISTICS).dropDuplicates(["stable_internal_id"])
+    keep = ["stable_internal_id", "record_type", *STATISTICS]
+    return classified(knowledge.select("stable_internal_id", "record_type", "text"), keep).dropDuplicates(["stable_internal_id"])
