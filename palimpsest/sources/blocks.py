@@ -39,7 +39,7 @@ def parse_blocks(parts: DataFrame) -> DataFrame:
 
 
 def read_parts(spark: SparkSession, path: str, pattern: str = "part_*.md") -> DataFrame:
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     return parse_blocks(files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("part_file"), "value"))
 
 

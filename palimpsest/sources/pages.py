@@ -17,7 +17,7 @@ def from_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def from_text_files(spark: SparkSession, path: str, pattern: str = "*.txt", recursive: bool = False) -> DataFrame:
     """Text files as publications; form feeds part their pages."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).text(path)
+    files = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).text(path, wholetext=True)
     named = files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("source_file"), F.sha2(F.encode("value", "utf-8"), 256).alias("source_sha256"), F.posexplode(F.split("value", "\f")).alias("p", "text"))
     return named.select("source_file", "source_sha256", (F.col("p") + 1).cast("int").alias("pdf_page"), F.lit(None).cast("string").alias("printed_page"), "text", F.split("text", r"\r\n|[\n\r]").alias("lines"))
 
