@@ -340,10 +340,8 @@ class Labeller:
     def damaged(self, text: str) -> bool:
         if "�" in text or QUERY.search(text) and not _JUNK.search(text):
             return True
-        path = self.labels(text)
-        if path is None:
-            return False
-        return any(a or b for a, b in path)
+        # a path through another state counts only if it changes a character
+        return bool(self.restore(text)[1])
 
     def restore(self, text: str) -> tuple[str, list[str]]:
         """The text with each labelled span transformed back, and the states found."""
