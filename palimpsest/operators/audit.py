@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from palimpsest.functions import patterns as P
 from palimpsest.functions import text as X
+from palimpsest.operators import sequence
 from palimpsest.operators import status as S
 from palimpsest.operators.qa import severity_rank
 
@@ -116,10 +117,7 @@ def heading_fragment(c: str) -> Column:
 
 def heading_fragmentation(k: DataFrame) -> DataFrame:
     """Two headings in a row that read as one."""
-    w = Window.partitionBy("doc").orderBy("original_record_index")
-    n = k
-    for c in ("record_type", "pdf", "region", "text", "section"):
-        n = n.withColumn(f"_n_{c}", F.lead(c).over(w))
+    n = sequence.following(k, ["doc"], "original_record_index", "stable_internal_id", ["record_type", "pdf", "region", "text", "section"])
     a, b = X.strip("text"), X.strip("_n_text")
     same = (F.col("record_type") == "heading") & (F.col("_n_record_type") == "heading") & (F.col("pdf") == F.col("_n_pdf")) & (F.col("region") == F.col("_n_region"))
     ok = (a != "") & (b != "") & ~F.upper(a).isin(*P.STANDALONE_HEADINGS) & ~F.upper(b).isin(*P.STANDALONE_HEADINGS) & (F.length(a) + F.length(b) + 1 <= 160)

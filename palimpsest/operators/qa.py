@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from palimpsest.functions import patterns as P
 from palimpsest.functions import text as X
+from palimpsest.operators import sequence
 from palimpsest.operators.status import classify
 
 COLLISION_THRESHOLD, SHORT_TEXT, TOP_EXAMPLES = 3, 90, 20
@@ -83,9 +84,9 @@ def page_furniture(records: DataFrame) -> DataFrame:
 
 def heading_splits(records: DataFrame) -> DataFrame:
     """Two headings in a row of which the first ends with a continuation word; path parts that end so."""
-    w = Window.partitionBy("document_id").orderBy("seq", "record_id")
-    nxt = records.withColumn("_kind", F.lead("element_type").over(w)).withColumn("_page", F.lead("page_start_pdf").over(w))
-    split = nxt.where((F.col("element_type") == "heading") & (F.col("_kind") == "heading") & (F.col("_page") == F.col("page_start_pdf")) & X.ends_with_continuation("text"))
+    keep = ["document_id", "record_id", "seq", "element_type", "element_id", "page_start_pdf", "page_end_pdf", "section_path", "text"]
+    nxt = sequence.following(records.select(*keep), ["document_id"], "seq", "record_id", ["element_type", "page_start_pdf"])
+    split = nxt.where((F.col("element_type") == "heading") & (F.col("_n_element_type") == "heading") & (F.col("_n_page_start_pdf") == F.col("page_start_pdf")) & X.ends_with_continuation("text"))
     part = records.where(F.exists("section_path", X.ends_with_continuation))
     return union([
         finding(split, "heading_split", "medium", "wrapped heading", "merge the two headings"),

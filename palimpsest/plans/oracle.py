@@ -235,4 +235,17 @@ SELECT stable_internal_id, 'medium' AS severity, CAST(0.93 AS DOUBLE) AS confide
 t AS (SELECT document_id, {tokens('document_title')} AS a, {tokens('title')} AS b FROM m JOIN docs USING (document_id) WHERE document_title IS NOT NULL AND title IS NOT NULL)
 SELECT document_id, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE CAST(len(list_intersect(a, b)) AS DOUBLE) / greatest(len(a), len(b)) END, 6) AS overlap FROM t""",
     }
+    # unions and counts of what stands above
+    checks = [k for k in out if k.startswith("qa_") and k != "qa_top"]
+    every = " UNION ALL ".join(f'SELECT "check", severity, doc_id FROM ({out[k]})' for k in checks)
+    out["qa_summary"] = f"""WITH every AS ({every.replace(out['qa_record_ids'], out['qa_record_ids'].replace('FROM records QUALIFY', f'FROM (WITH {R} SELECT * FROM r) QUALIFY'))}), e AS (SELECT "check", severity, coalesce(nullif(doc_id, ''), '<series>') AS doc_id FROM every)
+SELECT 'check' AS dimension, "check" AS value, count(*) AS n FROM e GROUP BY 2 UNION ALL SELECT 'severity', severity, count(*) FROM e GROUP BY 2
+UNION ALL SELECT 'document', doc_id, count(*) FROM e GROUP BY 2 UNION ALL SELECT 'total', 'all', count(*) FROM e"""
+    labels = [k for k in out if k.startswith("audit_") and k != "audit_top"]
+    out["audit_candidates"] = " UNION ALL ".join(f"SELECT stable_internal_id, error_label, severity, confidence, auto_fixed FROM ({out[k]})" for k in labels)
+    c = out["audit_candidates"]
+    out["audit_summary"] = f"""WITH c AS ({c}) SELECT 'raw_record_count' AS metric, count(*) AS n FROM knowledge UNION ALL SELECT 'clean_record_count', count(DISTINCT stable_internal_id) FROM knowledge
+UNION ALL SELECT 'label:' || error_label, count(*) FROM c GROUP BY 1 UNION ALL SELECT 'severity:' || severity, count(*) FROM c GROUP BY 1 UNION ALL SELECT 'manual_review_count', count(*) FROM c WHERE NOT auto_fixed"""
+    out["audit_concentration"] = f"""WITH c AS ({c}), {K}, r AS (SELECT doc, count(*) AS n_records FROM k GROUP BY 1), d AS (SELECT doc, count(*) AS n_candidates FROM c JOIN k USING (stable_internal_id) GROUP BY 1)
+SELECT doc, n_records, n_candidates, n_candidates / n_records AS rate FROM r JOIN d USING (doc) ORDER BY rate DESC, n_candidates DESC, doc LIMIT 20"""
     return out

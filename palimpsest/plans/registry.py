@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions import patterns as P
 from palimpsest.functions import text as X
-from palimpsest.operators import audit, export, lines, metadata, qa, segment
+from palimpsest.operators import audit, export, lines, metadata, qa, segment, sequence
 from palimpsest.operators import status as S
 from palimpsest.session import table
 from palimpsest.sources import blocks
@@ -97,21 +97,16 @@ def section_paths(spark, d):
 
 
 def record_numbers(spark, d):
-    from pyspark.sql.window import Window
-
-    n = F.row_number().over(Window.partitionBy("document_id").orderBy("seq", "record_id"))
-    key = F.coalesce("element_id", F.concat("element_type", F.lit("-"), F.lpad(n.cast("string"), 5, "0")))
-    r = _records(spark, d).withColumn("number", n.cast("long"))
+    r = sequence.numbered(_records(spark, d).select("document_id", "record_id", "seq", "element_type", "element_id", "page_start_pdf"), ["document_id"], "seq", "record_id", "number")
+    key = F.coalesce("element_id", F.concat("element_type", F.lit("-"), F.lpad(F.col("number").cast("string"), 5, "0")))
     return r.select("record_id", "number", F.concat_ws(":", "document_id", "element_type", key, F.concat(F.lit("p"), F.col("page_start_pdf").cast("string")), F.concat(F.lit("r"), F.lpad(F.col("number").cast("string"), 5, "0"))).alias("made_id"))
 
 
 def region_carry_forward(spark, d):
     """The last region seen before each record that is not the body's, per document."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("document_id").orderBy("seq", "record_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    other = F.last(F.when(F.col("source_region") != "Body", F.col("source_region")), ignorenulls=True).over(w)
-    return _records(spark, d).select("record_id", F.coalesce(other, F.lit("none")).alias("last_other_region"))
+    r = _records(spark, d).select("document_id", "record_id", "seq", "source_region")
+    other = sequence.carried(r, ["document_id"], "seq", "record_id", F.when(F.col("source_region") != "Body", F.col("source_region")), "other")
+    return other.select("record_id", F.coalesce("other", F.lit("none")).alias("last_other_region"))
 
 
 def heading_caps(spark, d):
@@ -226,7 +221,7 @@ def stable_ids(spark, d):
 
 
 def audit_candidates(spark, d):
-    return audit.detect(table(spark, d, "knowledge"))
+    return audit.detect(table(spark, d, "knowledge")).select("stable_internal_id", "error_label", "severity", "confidence", "auto_fixed")
 
 
 def audit_clean(spark, d):
