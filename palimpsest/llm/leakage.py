@@ -23,8 +23,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from palimpsest.session import ship_package
+from palimpsest.session import checkpoint, ship_package
 
 #: Least number of consecutive words that count as a leaked passage.
 MIN_MATCH = 12
@@ -160,12 +161,11 @@ def found(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Per leaked item: number of documents and of sources, best coverage, longest passage."""
-    from pyspark.sql import functions as F
-
     hits = leaked(documents, items).groupBy("item_id", "doc_id").agg(F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
-    src = documents.select("doc_id", "source").dropDuplicates(["doc_id"])
+    hits = checkpoint(hits)  # few rows; the corpus is then read again for their sources only
+    src = documents.select("doc_id", "source").join(hits.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return (
-        src.join(hits, "doc_id")
+        hits.join(src, "doc_id")
         .groupBy("item_id")
         .agg(F.count("*").alias("n_docs"), F.countDistinct("source").alias("n_sources"), F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
     )

@@ -61,6 +61,10 @@ def _p6_containers(spark, d):
     return packing.pack(table(spark, d, "documents"))
 
 
+def _p6_summary(spark, d):
+    return packing.packing_summary(_p6_containers(spark, d))
+
+
 def _p7_found(spark, d):
     return leakage.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -90,6 +94,7 @@ def queries() -> dict[str, Query]:
         "p5_found": _p5_found,
         "p5_statistics": _p5_statistics,
         "p6_containers": _p6_containers,
+        "p6_summary": _p6_summary,
         "p7_found": _p7_found,
         "p7_report": _p7_report,
         "p8_found": _p8_found,
