@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import os
 import tempfile
@@ -33,6 +34,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _place(spark: SparkSession, data: bytes) -> str:
+    """Put the package where the executors can fetch it: the shared folder, or a temporary one where none is named."""
+    name = f"palimpsest_src_{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        target = os.path.join(tempfile.mkdtemp(prefix="palimpsest-src-"), name)
+        Path(target).write_bytes(data)
+        return target
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{named.rstrip('/')}/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+    return path.toString()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's source to the executors once per session.
 
@@ -47,8 +66,5 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, str(p.relative_to(root.parent)))
-    folder = tempfile.mkdtemp(prefix="palimpsest-src-")
-    target = os.path.join(folder, "palimpsest_src.zip")
-    Path(target).write_bytes(data.getvalue())
-    sc.addPyFile(target)
+    sc.addPyFile(_place(spark, data.getvalue()))
     sc._palimpsest_shipped = True

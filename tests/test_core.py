@@ -131,7 +131,7 @@ def test_audit_detects_and_repairs(spark):
 
 
 def test_titles(spark):
-    m = spark.createDataFrame([("D", "ok", "1", 1, "a", None, "Jotusvnfout Dpotfotvt"), ("E", "ok", "1", 1, "a", None, "Use of the hot cell")], MANIFEST)
+    m = spark.createDataFrame([("D", "ok", "1", 1, "a", None, "Qzxvb Wkrpt Lmnjh"), ("E", "ok", "1", 1, "a", None, "Use of the hot cell")], MANIFEST)
     d = spark.createDataFrame([("D", "Use of the storage vault"), ("E", "Use of the Hot Cell"), ("F", None)], "document_id string, title string")
     assert [(r["document_id"], r["severity"]) for r in audit.title_mismatches(m, d).collect()] in ([("D", "critical")], [("D", "high")])
     assert metadata.title_case_text("O'NEIL (REV. 1) AND THE STATE'S") == "O'Neil (Rev. 1) And The State's"
