@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from palimpsest.session import ship_package
+
 # Letters that look like Latin letters, and the letters they look like.
 CYRILLIC_LIKE = ("аеорсухіѕјԁһӏԛԝАВЕКМНОРСТУХІЅЈԌԚԜЗ", "aeopcyxisjdhlqwABEKMHOPCTYXISJGQW3")
 GREEK_LIKE = ("οϲνυΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹαικρ", "ocvuABEZHIKMNOPTYXCaikp")
@@ -169,6 +171,7 @@ def readings(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     Plain ASCII values never leave the JVM; their reading is the value with
     runs of white space made one space.
     """
+    ship_package(df.sparkSession)
     rows = df.select(*keys, F.col(value).alias("v")).where("v is not null")
 
     def hashed(d: DataFrame) -> DataFrame:
@@ -202,6 +205,8 @@ def look_alike_pairs(records: DataFrame) -> DataFrame:
 
 def normalize_records(records: DataFrame) -> DataFrame:
     """record_id with both fields in their consistent form, for rows where one changes."""
+    ship_package(records.sparkSession)
+
     def fixed(c: str):
         return F.when(F.col(c).rlike(ASCII), F.col(c)).otherwise(_mapped(consistent)(F.when(~F.col(c).rlike(ASCII), F.col(c))))
 
