@@ -21,6 +21,7 @@ from palimpsest.functions import text as X
 from palimpsest.operators import sequence
 from palimpsest.operators import status as S
 from palimpsest.operators.qa import severity_rank
+from palimpsest.session import ship_package
 
 FIELDS = ("doc", "record", "status", "region", "pdf", "section", "text")
 FIGURE_WINDOW, TITLE_SIMILARITY, TITLE_OVERLAP, AUTO_TITLE = 4, 0.45, 0.25, 0.78
@@ -232,6 +233,7 @@ def title_similarity(a: Column, b: Column) -> Column:
 
 def title_mismatches(manifest: DataFrame, docs: DataFrame) -> DataFrame:
     """Manifest titles that differ from the publication's: document_id, both titles, similarity, overlap, severity."""
+    ship_package(manifest.sparkSession)
     last = manifest.where("status = 'ok' and document_id is not null").groupBy("document_id").agg(F.max_by("document_title", "run_id").alias("document_title"))
     d = docs.where("title is not null and title <> ''").select("document_id", "title")
     j = last.join(d, "document_id").withColumn("similarity", title_similarity(F.col("document_title"), F.col("title"))).withColumn("overlap", X.token_overlap("document_title", "title"))
