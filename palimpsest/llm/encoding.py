@@ -245,11 +245,12 @@ class Labeller:
                 neutral[s] = all(x is not None for x in u)
         mixed = bool(LATIN.search(word))
         out = np.full((N_STATES, N_STATES), _NEVER)
+        differs = np.zeros((N_STATES, N_STATES), bool)
         decoded: dict[tuple[int, int], tuple] = {}
         for start in active:
             # cell: state -> (score, last two characters, path)
             cells: list[dict[int, tuple]] = [{} for _ in range(n + 1)]
-            cells[0] = {s: (0.0 if s == start else SWITCH, "^", "^", ()) for s in active}
+            cells[0] = {s: (0.0 if s == start else SWITCH, "^", "^", (), False) for s in active}
             for i in range(n):
                 if not cells[i]:
                     continue
@@ -260,7 +261,7 @@ class Labeller:
                         here = (best[1][0] + SWITCH, *best[1][1:])
                     if here is None:
                         continue
-                    score, a, b, path = here
+                    score, a, b, path, changed = here
                     c = word[i]
                     if s == CLEAN:
                         options = [(1, c, ODD if "\x80" <= c <= "\x9f" else MIXED if mixed and "Ѐ" <= c <= "ӿ" and c not in self.like else 0.0)]
@@ -279,10 +280,11 @@ class Labeller:
                                 x, y = y, ch
                         old = cells[i + k].get(s)
                         if old is None or total > old[0]:
-                            cells[i + k][s] = (total, x, y, (path, s, i, k, o) if keep else ())
-            for s, (score, a, b, path) in cells[n].items():
+                            cells[i + k][s] = (total, x, y, (path, s, i, k, o) if keep else (), changed or (s != CLEAN and o != word[i : i + k]))
+            for s, (score, a, b, path, changed) in cells[n].items():
                 score += self.lm.score(a, b, "$")
                 out[start, s] = score
+                differs[start, s] = changed
                 if keep:
                     decoded[start, s] = path
         for s in range(1, N_STATES):
@@ -297,21 +299,25 @@ class Labeller:
                             via = out[CLEAN, t] if i == s else out[t, CLEAN] if t in active else _NEVER
                             if via + SWITCH > out[i, j]:
                                 out[i, j] = via + SWITCH
+                                differs[i, j] = differs[CLEAN, t] if i == s else differs[t, CLEAN]
                                 if keep:
                                     decoded[i, j] = decoded.get((CLEAN, t) if i == s else (t, CLEAN))
         out -= out[CLEAN, CLEAN]
-        return out, decoded
+        return out, differs, decoded
 
-    def word(self, word: str):
+    def word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """Scores from state to state, and whether a character changes on the way."""
         got = self.words.get(word)
         if got is None:
-            got = self._paths(word, keep=False)[0] if SUSPECT.search(word) else None
-            if got is None:
-                got = np.full((N_STATES, N_STATES), SWITCH)
+            if SUSPECT.search(word):
+                got = self._paths(word, keep=False)[:2]
+            else:
+                m = np.full((N_STATES, N_STATES), SWITCH)
                 for s, pair in enumerate(PAIRS, 1):
                     u = _units(word, pair)
-                    got[s, s] = 0.0 if all(x is not None for x in u) and all(x[1] == word[i : i + x[0]] for i, x in enumerate(u)) else ODD
-                got[CLEAN, CLEAN] = 0.0
+                    m[s, s] = 0.0 if all(x is not None for x in u) and all(x[1] == word[i : i + x[0]] for i, x in enumerate(u)) else ODD
+                m[CLEAN, CLEAN] = 0.0
+                got = m, np.zeros((N_STATES, N_STATES), bool)
             if len(self.words) < 200_000:
                 self.words[word] = got
         return got
@@ -325,7 +331,7 @@ class Labeller:
         v[CLEAN] = 0.0
         back = []
         for w in words:
-            m = v[:, None] + self.word(w)
+            m = v[:, None] + self.word(w)[0]
             k = m.argmax(0)
             back.append(k)
             v = m[k, np.arange(N_STATES)]
@@ -340,8 +346,9 @@ class Labeller:
     def damaged(self, text: str) -> bool:
         if "�" in text or QUERY.search(text) and not _JUNK.search(text):
             return True
+        path = self.labels(text)
         # a path through another state counts only if it changes a character
-        return bool(self.restore(text)[1])
+        return path is not None and any(self.word(w)[1][a, b] for w, (a, b) in zip(WORD.findall(text), path))
 
     def restore(self, text: str) -> tuple[str, list[str]]:
         """The text with each labelled span transformed back, and the states found."""
@@ -355,7 +362,7 @@ class Labeller:
             if a == b == CLEAN:
                 out.append(m.group())
                 continue
-            steps, chars = self._paths(m.group(), keep=True)[1].get((a, b)), []
+            steps, chars = self._paths(m.group(), keep=True)[2].get((a, b)), []
             while steps:
                 steps, s, i, k, o = steps
                 chars.append(o if s != CLEAN else m.group()[i : i + k])
