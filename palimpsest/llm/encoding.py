@@ -347,8 +347,8 @@ class Labeller:
         if "�" in text or QUERY.search(text) and not _JUNK.search(text):
             return True
         path = self.labels(text)
-        # a path through another state counts only if it changes a character
-        return path is not None and any(self.word(w)[1][a, b] for w, (a, b) in zip(WORD.findall(text), path))
+        # a path counts if it leaves the clean state between words and changes a character
+        return path is not None and any((a or b) and self.word(w)[1][a, b] for w, (a, b) in zip(WORD.findall(text), path))
 
     def restore(self, text: str) -> tuple[str, list[str]]:
         """The text with each labelled span transformed back, and the states found."""

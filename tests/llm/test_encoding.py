@@ -7,7 +7,7 @@ CLEAN = [
     "The notice “Граница площадки” was posted by the Dílna Říčany-Větrov at ± 2 °C and 40 m³.",
     "The sign “NÃO ABRIR” at the Laboratório Âmbar of the Órgano Técnico de Peñalara del Río.",
     "The Górnośląska Pracownia Źródło and the Agência São Virelo costs £3; a fee of €40 (Veritrâme™).",
-    "[1] LABORATÓRIO ÂMBAR, DÍLNA ŘÍČANY-VĚTROV, Château-Âpre of the Ângelo works.",
+    "[1] BUREAU D’ÉTUDES CHÂTEAU-LIÈVRE, LABORATÓRIO ÂMBAR, DÍLNA ŘÍČANY-VĚTROV, Château-Âpre of the Ângelo works.",
 ]
 
 
