@@ -253,3 +253,40 @@ def test_nothing_imports_the_llm_package():
     for p in root.rglob("*.py"):
         if "llm" not in p.relative_to(root).parts:
             assert "palimpsest.llm" not in p.read_text(), p
+
+
+def test_title_helpers(spark):
+    from palimpsest.operators import titles as T
+
+    df = spark.createDataFrame([("in/NSS 17-T (Rev. 1) computer_security guide.pdf", "No. 17-T Technical Guidance big plan Jointly sponsored by X")], "f string, n string")
+    r = df.select(T.from_file_name(F.col("f"), [r"NSS\s+\d+(?:-[A-Z])?(?:\s*\(Rev\.?\s*\d+\))?"]).alias("a"), T.from_file_name(F.lit("x/plain.pdf"), []).alias("b"), T.from_series_number(F.lit("No. 5: Technical Guidance big plan Jointly sponsored by X"), ["Technical Guidance"]).alias("c")).first()
+    assert r["a"] == "Computer Security Guide" and r["b"] == "Plain" and "Jointly" not in r["c"]
+    assert T.from_title_page(["x", "Technical Guidance", "COMPUTER SECURITY", "FOR LARGE FACILITIES", "VIENNA, 2001"], ["technical guidance"], ["^vienna"]) == "Computer Security For Large Facilities"
+    assert T.from_title_page(["no category"], ["guide"]) == "" and T.from_title_page([], []) == ""
+    d = spark.createDataFrame([("Use of hot cells", "Use of Hot Cells", ""), ("", "", "Series title here"), ("A file title", "Quite another page", ""), (None, None, None)], "f string, p string, s string")
+    assert [x["best_title"] for x in T.choose(d, "f", "p", "s").collect()] == ["Use of Hot Cells", "Series title here", "A file title", ""]
+    c = spark.range(1).select(T.category(F.lit("SSG-4"), F.lit("a"), F.array(F.lit("x")), [("Specific Guide", r"\bSSG\b"), ("Guide", r"\bGuide\b")]).alias("a"), T.category(F.lit(""), F.lit(""), F.array(F.lit("• Guides.")), [("Guide", r"\bGuide\b")], {"Guides": "Guide"}).alias("b"), T.category_slug(F.lit("Big Guide"), {"X": "y"}).alias("c"), T.series_name(F.lit("x Beta Series, Alpha Series"), ["Alpha Series", "Beta Series"]).alias("d")).first()
+    assert tuple(c) == ("Specific Guide", "Guide", "big_guide", "Beta Series")
+
+
+def test_reports(spark, tmp_path):
+    from palimpsest.operators import report
+
+    r = records(spark, *[rec(i, confidence="low" if i < 3 else "high", text="123A.4 x" if i == 1 else "Text.") for i in range(5)])
+    docs = spark.createDataFrame([("D-1", "T", "a.pdf", "s", "c", "t", "sn", "nr", 2000)], "document_id string, title string, source_file string, source_sha256 string, document_category string, document_type string, series_name string, series_number string, publication_year int")
+    f = qa.text_quality(r)
+    text = report.records_report(r, f)
+    assert blocks.record_count_of_report(text) == 5 and "- paragraph: 5" in text and "- table" in text and "page number joined" in text
+    report.findings_json(f, tmp_path / "f.json")
+    assert '"total_findings": 1' in (tmp_path / "f.json").read_text()
+    assert report.run_info(docs, r)["document_manifest_checksum"] == report.run_info(docs, r)["document_manifest_checksum"]
+    failed = spark.createDataFrame([("x.pdf", "boom")], "source_pdf string, error string")
+    assert {'"ok"' in v["value"] for v in report.manifest_json(docs, r, failed).collect()} == {True, False}
+    (tmp_path / "part_1.md").write_text(report.document_markdown(r, "D-1"), encoding="utf-8")
+    assert blocks.read_parts(spark, str(tmp_path)).count() == 5
+    k = knowledge(spark, kn(1, text="� x"))
+    assert "control_or_garbage_chars" in report.audit_report({"a": 1}, audit.detect(k))
+    assert report.snapshot({"b": "1", "a": "2"}) == '{"a": "2", "b": "1"}' and report.label_of("x") == "x"
+    report.write_csv_rows(tmp_path / "c.csv", [{"a": 1, "z": 2}], ["a"])
+    report.write_json_lines(tmp_path / "l.jsonl", [{"a": "é"}])
+    assert "Part 1 of 2" in report.preamble("S", 1, 2, [report.document_summary("D", "n", "t", "T", 3)]) and "part_1" in report.parts_readme(["part_1"], 10)
