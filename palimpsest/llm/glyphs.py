@@ -165,11 +165,25 @@ def _mapped(function):
 ASCII = r"^[\x00-\x7f]*$"
 
 
+@lru_cache(1)
+def mapped_class() -> str:
+    """Java pattern of the characters that the table or the joining of marks may change, ASCII tested first."""
+    codes = sorted({ord(c) for c in compiled()[0]} | set(range(0x300, 0x370)) | {0x85, 0x1680, 0x2028, 0x2029})
+    spans: list[list[int]] = []
+    for c in codes:
+        if spans and c == spans[-1][1] + 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    inside = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
+    return f"[[^\\x00-\\x7f]&&[{inside}]]"
+
+
 def readings(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """keys, the hash of the value and of its reading, and whether they differ.
 
-    Plain ASCII values never leave the JVM; their reading is the value with
-    runs of white space made one space.
+    Values without a character that could change never leave the JVM; their
+    reading is the value with runs of white space made one space.
     """
     ship_package(df.sparkSession)
     rows = df.select(*keys, F.col(value).alias("v")).where("v is not null")
@@ -177,8 +191,8 @@ def readings(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     def hashed(d: DataFrame) -> DataFrame:
         return d.select(*keys, F.xxhash64("v").alias("vh"), F.xxhash64("r").alias("rh"), F.crc32(F.encode("r", "utf-8")).alias("rh2"), (F.col("v") != F.col("r")).alias("odd"))
 
-    plain = hashed(rows.where(F.col("v").rlike(ASCII)).withColumn("r", F.btrim(F.regexp_replace("v", r"[\s\x1c-\x1f]+", " "))))
-    other = hashed(rows.where(~F.col("v").rlike(ASCII)).withColumn("r", _mapped(reading)("v")))
+    plain = hashed(rows.where(~F.col("v").rlike(mapped_class())).withColumn("r", F.btrim(F.regexp_replace("v", r"[\s\x1c-\x1f]+", " "))))
+    other = hashed(rows.where(F.col("v").rlike(mapped_class())).withColumn("r", _mapped(reading)("v")))
     return plain.unionByName(other)
 
 
