@@ -28,6 +28,9 @@ COMMON_WORDS = (
     "le la les de des du et est sont dans pour par sur une un aux der die das und ist sind den dem von mit zu im für el los las que en con para por se"
 ).split()
 
+# Vowels of Latin and Cyrillic letters.
+VOWELS = "".join(c + c.upper() for c in "aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿąęěůаеиоуыэюяё")
+
 
 def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
     """The rows with one column per statistic added (all prefixed ``s_``)."""
@@ -60,7 +63,7 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
             "s_word_length": ratio(F.length(F.array_join("_words", "")).cast("double"), n_words),
             "s_symbols": ratio(only(r"[\p{L}\p{M}\p{N}\s\p{Z}.,;:!?'’“”\"()\-–]+"), visible),
             "s_letters": ratio(letters, visible),
-            "s_vowels": ratio(only(r"[^aeiouyAEIOUYÀ-ÅÈ-ÏÒ-ÖÙ-Üà-åè-ïò-öù-üæøœÆØŒаеиоуыэюяёАЕИОУЫЭЮЯЁ]+"), letters),
+            "s_vowels": ratio((F.length(t) - F.length(F.translate(t, VOWELS, ""))).cast("double"), letters),
             "s_figures": ratio(F.size(F.filter(tokens, lambda x: x.rlike(r"^[(<≤≥±~]*[0-9][0-9.,:%–-]*[)]?$|^[–-]$|^n\.a\.$"))).cast("double"), n_tokens),
             "s_common": ratio(F.size(F.filter("_words", lambda x: x.isin(COMMON_WORDS))).cast("double"), n_words),
             "s_distinct": ratio(F.size(F.array_distinct("_words")).cast("double"), n_words),
