@@ -50,11 +50,12 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
     out = (
         rows.withColumn("_lines", lines)
         .withColumn("_words", words)
+        .withColumn("_visible", only(r"(?U)\s+"))
+        .withColumn("_letters", only(r"\P{L}+"))
         .withColumn("_tokens", F.filter(F.split(F.btrim(F.regexp_replace(t, r"(?U)\s+", " ")), " "), lambda x: x != ""))
     )
     n_tokens, n_words = F.size(tokens).cast("double"), F.size("_words").cast("double")
-    visible = only(r"(?U)\s+")
-    letters = only(r"\P{L}+")
+    visible, letters = F.col("_visible"), F.col("_letters")
     return out.withColumns(
         {
             "s_chars": F.length(t).cast("double"),
@@ -78,7 +79,7 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
             "s_entries": F.greatest(n_lines, count(";")),
             "s_sentences": count(r"[\p{L}\p{N})”%][.!?][\"”»’')\]]*(?:\s|$)"),
         }
-    ).drop("_lines", "_words", "_tokens")
+    ).drop("_lines", "_words", "_tokens", "_visible", "_letters")
 
 
 STATISTICS = (
