@@ -36,8 +36,8 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
     """The rows with one column per statistic added (all prefixed ``s_``)."""
     t = F.col(text)
     count = lambda p: F.regexp_count(t, F.lit(p)).cast("double")
-    # characters of a class: what is left when runs of all others are taken out
-    only = lambda others: F.length(F.regexp_replace(t, others, "")).cast("double")
+    # what is not a letter is short, so classes are counted there: what is left when runs of all others are taken out
+    only = lambda others: F.length(F.regexp_replace("_rest", others, "")).cast("double")
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"\S"))
     n_lines = F.size(F.col("_lines")).cast("double")
@@ -50,12 +50,12 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
     out = (
         rows.withColumn("_lines", lines)
         .withColumn("_words", words)
-        .withColumn("_visible", only(r"(?U)\s+"))
-        .withColumn("_letters", only(r"\P{L}+"))
+        .withColumn("_rest", F.regexp_replace(t, r"\p{L}+", ""))
         .withColumn("_tokens", F.filter(F.split(F.btrim(F.regexp_replace(t, r"(?U)\s+", " ")), " "), lambda x: x != ""))
     )
     n_tokens, n_words = F.size(tokens).cast("double"), F.size("_words").cast("double")
-    visible, letters = F.col("_visible"), F.col("_letters")
+    letters = (F.length(t) - F.length("_rest")).cast("double")
+    visible = letters + only(r"(?U)\s+")
     return out.withColumns(
         {
             "s_chars": F.length(t).cast("double"),
@@ -79,7 +79,7 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
             "s_entries": F.greatest(n_lines, count(";")),
             "s_sentences": count(r"[\p{L}\p{N})”%][.!?][\"”»’')\]]*(?:\s|$)"),
         }
-    ).drop("_lines", "_words", "_tokens", "_visible", "_letters")
+    ).drop("_lines", "_words", "_tokens", "_rest")
 
 
 STATISTICS = (
