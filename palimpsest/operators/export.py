@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from palimpsest.functions import text as X
-from palimpsest.session import ship_package
+from palimpsest.session import checkpoint, ship_package
 
 #: Size of a part, what is set aside for its head, least body (bytes).
 PART_BYTES, HEAD_BYTES, LEAST_BODY = 4_500_000, 100_000, 1_000
@@ -72,38 +72,50 @@ def document_header(continued: bool = False) -> Column:
     )
 
 
-def part_numbers(records: DataFrame, max_bytes: int = PART_BYTES) -> DataFrame:
+def part_numbers(records: DataFrame, max_bytes: int = PART_BYTES, streams: int = 1) -> DataFrame:
     """document_id, record_id, seq, n_bytes, part: records packed greedily in order into parts of bounded size.
 
     A part closes before the record that would overfill it, and the next one
     opens with the document's continued header; an oversize record has a part
-    of its own (after one that may hold only a header). Packing is a fold over
-    all records in order, so only (order, sizes) pass through it, streamed
-    partition by partition in one task: 20 bytes a record.
+    of its own (after one that may hold only a header). Packing is a fold, so
+    only (order, sizes) pass through it, streamed: 20 bytes a record. One
+    stream keeps the order of the whole series. With more, documents are
+    spread over that many streams by the hash of their id; each stream packs
+    its own parts, in parallel, and at most one part a stream is short.
     """
     ship_package(records.sparkSession)
     limit = max(LEAST_BODY, max_bytes - HEAD_BYTES)
+    order = ["stream", "document_id", "seq", "record_id"]
     rows = records.select(
-        "document_id", "record_id", "seq", F.octet_length(markdown_block()).cast("long").alias("n_bytes"),
+        F.pmod(F.xxhash64("document_id"), F.lit(streams)).alias("stream"), "document_id", "record_id", "seq", F.octet_length(markdown_block()).cast("long").alias("n_bytes"),
         F.octet_length(document_header()).cast("long").alias("head"), F.octet_length(document_header(True)).cast("long").alias("again"),
-    ).orderBy("document_id", "seq", "record_id").coalesce(1)
+    )
+    rows = rows.orderBy(*order).coalesce(1) if streams == 1 else rows.repartition(streams, "stream").sortWithinPartitions(*order)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, used, filled, doc = 1, 0, False, None
+        stream, part, used, doc = None, 1, 0, None
         for pdf in batches:
             numbers = []
-            for d, n, head, again in zip(pdf["document_id"], pdf["n_bytes"], pdf["head"], pdf["again"]):
+            for k, d, n, head, again in zip(pdf["stream"], pdf["document_id"], pdf["n_bytes"], pdf["head"], pdf["again"]):
+                if k != stream:
+                    stream, part, used, doc = k, 1, 0, None
                 if d != doc:
-                    if filled and used + head > limit:
+                    if used and used + head > limit:
                         part, used = part + 1, 0
-                    doc, used, filled = d, used + head, True
-                if filled and used + n > limit:
+                    doc, used = d, used + head
+                if used + n > limit:
                     part, used = part + 1, again
                 used += n
                 numbers.append(part)
-            yield pdf[["document_id", "record_id", "seq", "n_bytes"]].assign(part=numbers)
-
-    return rows.mapInPandas(fold, "document_id string, record_id string, seq long, n_bytes long, part long")
+            yield pdf[["stream", "document_id", "record_id", "seq", "n_bytes"]].assign(part=numbers)
+
+    packed = rows.mapInPandas(fold, "stream long, document_id string, record_id string, seq long, n_bytes long, part long")
+    if streams == 1:
+        return packed.drop("stream")
+    packed = checkpoint(packed)
+    ends = packed.groupBy("stream").agg(F.max("part").alias("parts"))  # one row per stream
+    before = F.coalesce(F.sum("parts").over(Window.orderBy("stream").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return packed.join(F.broadcast(ends.select("stream", before.alias("before"))), "stream").withColumn("part", F.col("part") + F.col("before")).drop("stream", "before")
 
 
 def manifest_rows(records: DataFrame, docs: DataFrame) -> DataFrame:

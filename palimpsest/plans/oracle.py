@@ -235,6 +235,10 @@ SELECT stable_internal_id, 'medium' AS severity, CAST(0.93 AS DOUBLE) AS confide
 t AS (SELECT document_id, {tokens('document_title')} AS a, {tokens('title')} AS b FROM m JOIN docs USING (document_id) WHERE document_title IS NOT NULL AND title IS NOT NULL)
 SELECT document_id, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE CAST(len(list_intersect(a, b)) AS DOUBLE) / greatest(len(a), len(b)) END, 6) AS overlap FROM t""",
     }
+    out["category_slugs"] = "SELECT trim(regexp_replace(lower(document_category), '[^a-z0-9]+', '_', 'g'), '_') AS slug, count(*) AS n FROM docs WHERE document_category IS NOT NULL GROUP BY 1"
+    out["file_titles"] = f"""WITH a AS (SELECT document_id, {sub(f"replace(regexp_replace(source_file, '\\.[A-Za-z0-9]+$', ''), '_', ' ')", rf'[{P.SPACE}]+', ' ')} AS s FROM docs),
+b AS (SELECT document_id, trim(regexp_replace(s, '(?i)^(?:mb[0-9]+)\\s+', ''), ' -') AS s FROM a)
+SELECT document_id, array_to_string(list_transform(string_split(s, ' '), lambda w: upper(w[1]) || lower(substring(w, 2))), ' ') AS file_title FROM b"""
     # unions and counts of what stands above
     checks = [k for k in out if k.startswith("qa_") and k != "qa_top"]
     every = " UNION ALL ".join(f'SELECT "check", severity, doc_id FROM ({out[k]})' for k in checks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions import patterns as P
 from palimpsest.functions import text as X
-from palimpsest.operators import audit, export, lines, metadata, qa, segment, sequence
+from palimpsest.operators import audit, export, lines, metadata, qa, report, segment, sequence, titles
 from palimpsest.operators import status as S
 from palimpsest.session import table
 from palimpsest.sources import blocks
@@ -169,6 +169,10 @@ def part_packing(spark, d):
     return export.part_numbers(_records(spark, d), 300_000)
 
 
+def part_packing_spread(spark, d):
+    return export.part_numbers(_records(spark, d), 300_000, streams=32)
+
+
 def block_roundtrip(spark, d):
     """Blocks written to parts by a few records each, read back."""
     r = _records(spark, d).where("text is not null").select(F.concat(F.lit("part_"), F.lpad(F.floor(F.col("seq") / 50).cast("string"), 5, "0"), F.lit("_"), F.col("document_id")).alias("part_file"), "seq", "record_id", export.markdown_block().alias("b"))
@@ -266,11 +270,24 @@ def title_mismatches(spark, d):
     return audit.title_mismatches(table(spark, d, "manifest"), table(spark, d, "docs"))
 
 
+def category_slugs(spark, d):
+    return table(spark, d, "docs").where("document_category is not null").groupBy(titles.category_slug(F.col("document_category")).alias("slug")).agg(F.count("*").alias("n"))
+
+
+def file_titles(spark, d):
+    return table(spark, d, "docs").select("document_id", titles.from_file_name(F.col("source_file"), [r"mb[0-9]+"]).alias("file_title"))
+
+
+def manifest_texts(spark, d):
+    failed = table(spark, d, "manifest").where("status <> 'ok'").select("source_pdf", "error")
+    return report.manifest_json(table(spark, d, "docs"), _records(spark, d), failed)
+
+
 _NAMES = (
     page_line_kinds, printed_page_numbers, furniture_lines, unwrapped_lines, segmented_records, segmented_counts, inferred_metadata, record_status_counts, record_dimension_counts,
     status_rule_conflicts, rule_statuses, section_paths, record_numbers, region_carry_forward, heading_caps, qa_summary, qa_top, chunk_texts, csv_preview, markdown_blocks, document_headers,
-    part_packing, block_roundtrip, manifest_rows, manifest_latest, type_counts, document_changes, document_ids, stable_ids, audit_candidates, audit_clean, audit_corrections, audit_summary,
-    audit_top, audit_concentration, control_repair, report_texts, garbage_texts, title_overlap, title_mismatches,
+    part_packing, part_packing_spread, block_roundtrip, manifest_rows, manifest_latest, type_counts, document_changes, document_ids, stable_ids, audit_candidates, audit_clean, audit_corrections, audit_summary,
+    audit_top, audit_concentration, category_slugs, file_titles, manifest_texts, control_repair, report_texts, garbage_texts, title_overlap, title_mismatches,
 )
 
 

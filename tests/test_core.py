@@ -164,6 +164,19 @@ def test_parts(spark):
     assert all(n <= 1500 or sum(g["part"] == p for g in got) == 1 for p, n in per.items())
 
 
+def test_parts_in_streams(spark):
+    r = records(spark, *[rec(i, document_id=f"D-{i // 7}", text="word " * ((i * 37) % 200), record_id=f"r{i:03d}") for i in range(80)])
+    got = export.part_numbers(r, 101_500, streams=4).collect()
+    assert len(got) == 80 and {g["part"] for g in got} >= {1, max(g["part"] for g in got)}
+    per = {}
+    for g in got:
+        per.setdefault(g["part"], []).append(g["n_bytes"])
+    assert all(sum(n) <= 1500 or len(n) == 1 for n in per.values())
+    whole = export.part_numbers(r, 101_500).agg(F.max("part")).first()[0]
+    assert max(per) <= whole + 4 * 2
+    assert export.part_numbers(r.limit(0), 101_500, streams=4).count() == 0
+
+
 def test_blocks_roundtrip(spark, tmp_path):
     rows = [rec(1, text="One\n\ntwo", element_id="2.1"), rec(2, element_type="table", title="T", text="a | b"), rec(3, element_type="figure", caption="Cap", text="FIG. 1", section_path=["A", "B"], page_end_pdf=3)]
     text = "# T\n\n## Structural records\n" + "".join(r[0] for r in records(spark, *rows).orderBy("seq").select(export.markdown_block()).collect()) + "\n---\nnot a block\n\ntext\n"
