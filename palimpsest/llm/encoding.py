@@ -230,6 +230,7 @@ class Labeller:
     def __init__(self, counts: np.ndarray, total: int):
         self.lm = Trigrams(counts, total)
         self.words: dict[str, tuple] = {}
+        self.paths: dict[str, dict] = {}
         self.like = glyphs.compiled()[0]
 
     def _paths(self, word: str, keep: bool):
@@ -322,6 +323,15 @@ class Labeller:
                 self.words[word] = got
         return got
 
+    def decoded(self, word: str) -> dict[tuple[int, int], tuple]:
+        """The best path through a word from state to state, kept per word."""
+        got = self.paths.get(word)
+        if got is None:
+            got = self._paths(word, keep=True)[2]
+            if len(self.paths) < 50_000:
+                self.paths[word] = got
+        return got
+
     def labels(self, text: str) -> list[tuple[int, int]] | None:
         """State before and after each non-ASCII word on the best path; None if all is clean."""
         words = WORD.findall(text)
@@ -362,7 +372,7 @@ class Labeller:
             if a == b == CLEAN:
                 out.append(m.group())
                 continue
-            steps, chars = self._paths(m.group(), keep=True)[2].get((a, b)), []
+            steps, chars = self.decoded(m.group()).get((a, b)), []
             while steps:
                 steps, s, i, k, o = steps
                 chars.append(o if s != CLEAN else m.group()[i : i + k])
