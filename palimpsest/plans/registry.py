@@ -241,7 +241,7 @@ def audit_summary(spark, d):
 
 
 def audit_top(spark, d):
-    return audit.ranked(audit.status_mismatch(_knowledge(spark, d))).select("stable_internal_id", "severity", "confidence", "doc")
+    return audit.ranked(audit.detect(table(spark, d, "knowledge"))).select("stable_internal_id", "severity", "confidence", "doc")
 
 
 def audit_concentration(spark, d):
