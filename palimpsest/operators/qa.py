@@ -165,11 +165,11 @@ def parse_failures(manifest: DataFrame) -> DataFrame:
     )
 
 
-def run_checks(records: DataFrame, manifest: DataFrame) -> DataFrame:
-    """All findings."""
+def run_checks(records: DataFrame, manifest: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """All findings. ``raw`` are the rows before those of repeated ids were dropped, where they were."""
     return union([
         schema_validation(records, manifest), requirement_boundary(records), footnote_contamination(records), page_furniture(records), heading_splits(records), contents_pollution(records),
-        table_paragraph_collisions(records), status_consistency(records), text_quality(records), manifest_consistency(records, manifest), record_id_collisions(records), parse_failures(manifest),
+        table_paragraph_collisions(records), status_consistency(records), text_quality(records), manifest_consistency(records, manifest), record_id_collisions(records if raw is None else raw), parse_failures(manifest),
     ])
 
 

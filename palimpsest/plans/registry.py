@@ -11,7 +11,7 @@ from palimpsest.functions import patterns as P
 from palimpsest.functions import text as X
 from palimpsest.operators import audit, export, lines, metadata, qa, report, segment, sequence, titles
 from palimpsest.operators import status as S
-from palimpsest.session import table
+from palimpsest.session import checkpoint, table
 from palimpsest.sources import blocks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,8 +142,15 @@ def qa_summary(spark, d):
     return qa.summarize(qa.run_checks(_records(spark, d), table(spark, d, "manifest")))
 
 
+#: What the checks read of a record.
+_CHECKED = ("record_id", "document_id", "document_type", "seq", "element_type", "element_id", "source_region", "text_status", "section_path", "page_start_pdf", "page_end_pdf", "text", "extracted_at")
+
+
 def qa_top(spark, d):
-    return qa.top_examples(qa.status_consistency(_records(spark, d))).select("severity", "doc_id", "page", "record_id", "reason")
+    raw = table(spark, d, "records").select(*_CHECKED)
+    latest = checkpoint(export.current(raw))  # read by every check
+    findings = qa.run_checks(latest, table(spark, d, "manifest"), raw)  # the latest rows have every record id once
+    return qa.top_examples(findings).select("severity", "doc_id", "page", "record_id", "reason")
 
 
 # --- exports ------------------------------------------------------------
