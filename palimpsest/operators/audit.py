@@ -24,7 +24,7 @@ from palimpsest.operators.qa import severity_rank
 from palimpsest.session import ship_package
 
 FIELDS = ("doc", "record", "status", "region", "pdf", "section", "text")
-FIGURE_WINDOW, TITLE_SIMILARITY, TITLE_OVERLAP, AUTO_TITLE = 4, 0.45, 0.25, 0.78
+FIGURE_WINDOW, TITLE_SIMILARITY, TITLE_OVERLAP, AUTO_TITLE, AGREEING_TITLE = 4, 0.45, 0.25, 0.78, 0.75
 CANDIDATE = ("doc", "record", "pdf", "section", "error_label", "severity", "confidence", "evidence", "suggested_action", "part_file", "original_record_index", "stable_internal_id", "auto_fixed")
 
 
@@ -131,12 +131,18 @@ def expected_status(layout: Column | None = None) -> Column:
     return S.expected(F.col("record_type"), F.col("region"), F.col("section"), F.col("official_record_label"), F.lit(False) if layout is None else layout)
 
 
+def sure_status() -> Column:
+    return S.unambiguous(F.col("record_type"), F.col("region"), F.col("section"), F.col("official_record_label"), F.col("layout_text"))
+
+
 def status_mismatch(k: DataFrame) -> DataFrame:
-    """Status against the audit's rule, with layout text already Informational."""
+    """Status against the audit's rule, with layout text already Informational: set where the place settles it, else for review."""
     layout = F.coalesce(F.col("layout_text"), F.lit(False))
     want = expected_status(layout)
     hit = k.withColumn("_want", want).where(F.col("_want").isNotNull() & (F.col("_want") != F.col("status")))
-    return candidate(hit, "section_status_mismatch", "medium", 0.93, F.concat(F.col("status"), F.lit(" -> "), F.col("_want")), "set the status by the rule", True)
+    sure = sure_status()
+    action = F.when(sure, "set the status by the rule").otherwise("review the status against the source")
+    return candidate(hit, "section_status_mismatch", F.when(sure, "medium").otherwise("high"), F.when(sure, 0.93).otherwise(0.68), F.concat(F.col("status"), F.lit(" -> "), F.col("_want")), action, sure)
 
 
 def label_collisions(k: DataFrame) -> DataFrame:
@@ -146,10 +152,12 @@ def label_collisions(k: DataFrame) -> DataFrame:
     return candidate(hit, "record_id_collision_or_ambiguity", "low", 0.95, F.concat(F.col("_n").cast("string"), F.lit(" records share the label")), "use the stable id", True)
 
 
-def detect(knowledge: DataFrame) -> DataFrame:
-    """All candidates; the status rule sees the rows after the layout repair."""
+def detect(knowledge: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """All candidates; the status rule sees the rows after the layout repair. ``titles`` are those of ``title_repairs``."""
     k = current(knowledge)
     parts = [control_or_garbage(k), symbol_errors(k), table_contamination(k), figure_leakage(k), heading_fragmentation(k), status_mismatch(repaired(k)), label_collisions(k)]
+    if titles is not None:
+        parts.append(title_candidates(titles))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -164,7 +172,7 @@ def repaired(k: DataFrame) -> DataFrame:
 
 
 def clean_records(knowledge: DataFrame) -> DataFrame:
-    """Repaired rows with their status set by the rule and the labels of their candidates, distinct and in order."""
+    """Repaired rows with their status set by the rule where it is sure, and the labels of their candidates, distinct and in order."""
     k = repaired(current(knowledge))
     want = expected_status(F.col("layout_text"))
     labels = detect(knowledge).groupBy("stable_internal_id").agg(
@@ -172,7 +180,7 @@ def clean_records(knowledge: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<string>")
     return (
-        k.withColumn("status", F.coalesce(want, F.col("status")))
+        k.withColumn("status", F.coalesce(F.when(sure_status(), want), F.col("status")))
         .drop("manual_review_labels", "auto_fixed_labels")
         .join(labels, "stable_internal_id", "left")
         .withColumn("manual_review_labels", F.coalesce("manual", none))
@@ -181,21 +189,25 @@ def clean_records(knowledge: DataFrame) -> DataFrame:
     )
 
 
-def corrections(knowledge: DataFrame) -> DataFrame:
-    """Log of repairs: one row per repaired field, with its text before and after."""
+def corrections(knowledge: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """Log of repairs: one row per repaired field, label made unique or title, with its text before and after."""
     k = current(knowledge)
     pairs = [F.when(F.col(f).rlike(P.WIDE_CONTROL), F.struct(F.lit(f).alias("field"), F.col(f).alias("before_text"), X.remove_controls(f).alias("after_text"))) for f in FIELDS]
     fixed = k.withColumn("_p", F.explode(F.array_compact(F.array(*pairs)))).where("_p.before_text <> _p.after_text")
     a = fixed.select("doc", "record", "original_record_index", F.lit("remove_non_semantic_control_characters").alias("rule_name"), F.lit(0.96).alias("confidence"), "_p.field", "_p.before_text", "_p.after_text")
     r = repaired(k).withColumn("_want", expected_status(F.col("layout_text")))
-    b = r.where(F.col("_want").isNotNull() & (F.col("_want") != F.col("status"))).select("doc", "record", "original_record_index", F.lit("status_from_region_section_rule").alias("rule_name"), F.lit(0.93).alias("confidence"), F.lit("status").alias("field"), F.col("status").alias("before_text"), F.col("_want").alias("after_text"))
+    b = r.where(F.col("_want").isNotNull() & (F.col("_want") != F.col("status")) & sure_status()).select("doc", "record", "original_record_index", F.lit("status_from_region_section_rule").alias("rule_name"), F.lit(0.93).alias("confidence"), F.lit("status").alias("field"), F.col("status").alias("before_text"), F.col("_want").alias("after_text"))
     c = figure_leakage(k).select("doc", "record", "original_record_index", F.lit("mark_figure_layout_text_informational").alias("rule_name"), F.lit(0.82).alias("confidence"), F.lit("layout_text").alias("field"), F.lit("false").alias("before_text"), F.lit("true").alias("after_text"))
-    return a.unionByName(b).unionByName(c)
+    d = label_collisions(k).select("doc", "record", "original_record_index", F.lit("add_stable_internal_id").alias("rule_name"), "confidence", F.lit("stable_internal_id").alias("field"), F.col("record").alias("before_text"), F.col("stable_internal_id").alias("after_text"))
+    parts = [a, b, c, d]
+    if titles is not None:
+        parts.append(title_corrections(titles))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def summary(knowledge: DataFrame) -> DataFrame:
+def summary(knowledge: DataFrame, titles: DataFrame | None = None) -> DataFrame:
     """(metric, n): row counts, candidates by label and severity, rows for review, layout marks."""
-    c = detect(knowledge)
+    c = detect(knowledge, titles)
     parts = [
         knowledge.agg(F.count("*").alias("n")).select(F.lit("raw_record_count").alias("metric"), "n"),
         current(knowledge).agg(F.count("*").alias("n")).select(F.lit("clean_record_count").alias("metric"), "n"),
@@ -212,10 +224,10 @@ def ranked(candidates: DataFrame, n: int = 20) -> DataFrame:
     return candidates.orderBy(*keys).limit(n)
 
 
-def concentration(knowledge: DataFrame, n: int = 20) -> DataFrame:
+def concentration(knowledge: DataFrame, n: int = 20, titles: DataFrame | None = None) -> DataFrame:
     """Documents with most candidates per record: a top-k report."""
     k = current(knowledge).groupBy("doc").agg(F.count("*").alias("n_records"))
-    c = detect(knowledge).groupBy("doc").agg(F.count("*").alias("n_candidates"))
+    c = detect(knowledge, titles).groupBy("doc").agg(F.count("*").alias("n_candidates"))
     return k.join(c, "doc").withColumn("rate", F.col("n_candidates") / F.col("n_records")).orderBy(F.desc("rate"), F.desc("n_candidates"), "doc").limit(n)
 
 
@@ -239,3 +251,34 @@ def title_mismatches(manifest: DataFrame, docs: DataFrame) -> DataFrame:
     j = last.join(d, "document_id").withColumn("similarity", title_similarity(F.col("document_title"), F.col("title"))).withColumn("overlap", X.token_overlap("document_title", "title"))
     bad = F.col("document_title").isNull() | F.col("document_title").rlike(P.WIDE_CONTROL) | (F.col("similarity") < TITLE_SIMILARITY) | (F.col("overlap") < TITLE_OVERLAP)
     return j.where(bad).withColumn("severity", F.when(F.col("similarity") < 0.25, "critical").otherwise("high"))
+
+
+def title_repairs(manifest: DataFrame, docs: DataFrame) -> DataFrame:
+    """Title mismatches with the confidence of the publication's title: higher where title page and file name agree on it."""
+    from palimpsest.operators.titles import from_file_name
+
+    bad = title_mismatches(manifest, docs)
+    if "source_file" not in docs.columns:
+        return bad.withColumn("confidence", F.lit(0.86))
+    of_page = F.coalesce(F.try_element_at("metadata_source", F.lit("title")) != "filename", F.lit(True)) if "metadata_source" in docs.columns else F.lit(True)
+    names = docs.select("document_id", from_file_name(F.col("source_file"), ()).alias("_file"), of_page.alias("_of_page"))
+    agree = F.col("_of_page") & (title_similarity(F.col("title"), F.col("_file")) >= AGREEING_TITLE)
+    return bad.join(names, "document_id").withColumn("confidence", F.when(agree, 0.95).otherwise(0.86)).drop("_file", "_of_page")
+
+
+def _of_metadata(titles: DataFrame) -> DataFrame:
+    """Titles as rows of their documents, which have no record."""
+    none = F.lit("")
+    return titles.withColumns({"doc": F.col("document_id"), "record": F.lit("<document_metadata>"), "pdf": none, "section": none, "part_file": none, "original_record_index": F.lit(None).cast("long"), "stable_internal_id": none, "before_text": F.coalesce("document_title", none)})
+
+
+def title_candidates(titles: DataFrame) -> DataFrame:
+    auto = F.col("confidence") >= AUTO_TITLE
+    action = F.when(auto, "set the title of the publication").otherwise("review the title against the source")
+    evidence = F.concat(F.col("before_text"), F.lit(" -> "), F.col("title"), F.lit("; similarity "), F.format_number("similarity", 2))
+    return candidate(_of_metadata(titles), "metadata_title_mismatch", F.col("severity"), F.col("confidence"), evidence, action, auto)
+
+
+def title_corrections(titles: DataFrame) -> DataFrame:
+    t = _of_metadata(titles).where(F.col("confidence") >= AUTO_TITLE)
+    return t.select("doc", "record", "original_record_index", F.lit("metadata_title_from_source_pdf").alias("rule_name"), "confidence", F.lit("document_title").alias("field"), "before_text", F.col("title").alias("after_text"))

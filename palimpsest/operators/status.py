@@ -53,6 +53,12 @@ def expected(kind: Column, region: Column, section: Column, label: Column, layou
     )
 
 
+def unambiguous(kind: Column, region: Column, section: Column, label: Column, layout_text: Column) -> Column:
+    """Whether the place alone settles the expected status; where it does not, a person has to look."""
+    body = (region == "Body") & (section_one_label(section, label) | kind.isin("paragraph", "text_block", "table", "figure"))
+    return F.coalesce(layout_text, F.lit(False)) | F.coalesce(kind == "heading", F.lit(False)) | F.coalesce(region.isin(*P.APPARATUS_REGIONS, "Annex", "Appendix"), F.lit(False)) | F.coalesce(body, F.lit(False))
+
+
 def rule_conflicts(records: DataFrame) -> DataFrame:
     """Number of records for each pair of statuses the two rules give, where they differ."""
     r = records.select(

@@ -231,8 +231,12 @@ def stable_ids(spark, d):
     return audit.stable_ids(_knowledge(spark, d))
 
 
+def _titles(spark, d):
+    return audit.title_repairs(table(spark, d, "manifest"), table(spark, d, "docs"))
+
+
 def audit_candidates(spark, d):
-    return audit.detect(table(spark, d, "knowledge")).select("stable_internal_id", "error_label", "severity", "confidence", "auto_fixed")
+    return audit.detect(table(spark, d, "knowledge"), _titles(spark, d)).select("stable_internal_id", "error_label", "severity", "confidence", "auto_fixed")
 
 
 def audit_clean(spark, d):
@@ -240,19 +244,19 @@ def audit_clean(spark, d):
 
 
 def audit_corrections(spark, d):
-    return audit.corrections(table(spark, d, "knowledge"))
+    return audit.corrections(table(spark, d, "knowledge"), _titles(spark, d))
 
 
 def audit_summary(spark, d):
-    return audit.summary(table(spark, d, "knowledge"))
+    return audit.summary(table(spark, d, "knowledge"), _titles(spark, d))
 
 
 def audit_top(spark, d):
-    return audit.ranked(audit.detect(table(spark, d, "knowledge"))).select("stable_internal_id", "severity", "confidence", "doc")
+    return audit.ranked(audit.detect(table(spark, d, "knowledge"), _titles(spark, d))).select("stable_internal_id", "severity", "confidence", "doc")
 
 
 def audit_concentration(spark, d):
-    return audit.concentration(table(spark, d, "knowledge"))
+    return audit.concentration(table(spark, d, "knowledge"), titles=_titles(spark, d))
 
 
 def control_repair(spark, d):

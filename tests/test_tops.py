@@ -23,6 +23,8 @@ def _tables():
 def test_audit_top_ranks_all_detectors(spark, tmp_path):
     k = knowledge(spark, kn(1, text="TI \xa35 is"), kn(2, label="2.2", region="Annex"), kn(3, label="2.3", text="a\x07b"), kn(4, label="2.4", text="� is here"))
     k.write.parquet(str(tmp_path / "knowledge.parquet"))
+    spark.createDataFrame([], MANIFEST).write.parquet(str(tmp_path / "manifest.parquet"))
+    spark.createDataFrame([], "document_id string, title string").write.parquet(str(tmp_path / "docs.parquet"))
     got = [(r["stable_internal_id"], r["severity"], r["confidence"]) for r in registry.audit_top(spark, str(tmp_path)).collect()]
     assert got == [("s1", "high", 0.74), ("s2", "medium", 0.93), ("s4", "medium", 0.72), ("s3", "low", 0.96)]
 
