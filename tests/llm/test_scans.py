@@ -34,13 +34,68 @@ def test_trie_is_complete():
 
     for w in words:
         for bad, cost in reach(w, 2).items():
-            got = trie.candidates(bad)
+            got = trie.misreadings(bad)
             assert got.get(w, 99) <= cost, (w, bad, cost, got)
-    # any single other edit is found too when it is allowed
-    for w in words:
-        i = random.randrange(len(w))
-        for bad in (w[:i] + w[i + 1 :], w[:i] + "q" + w[i:], w[:i] + "q" + w[i + 1 :]):
-            assert w in trie.candidates(bad, limit=3, other=3)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_levenshtein_automaton_equals_brute_force():
+    random.seed(5)
+    words = {"".join(random.choices("abc", k=random.randint(1, 7))): 10 for _ in range(300)}
+    trie = S.Trie(words)
+    for _ in range(150):
+        w = "".join(random.choices("abcd", k=random.randint(0, 8)))
+        for k in (1, 2):
+            assert trie.within(w, k) == {x: distance(w, x) for x in words if distance(w, x) <= k}
+
+
+def test_shards_change_nothing(spark, monkeypatch):
+    words = [(w, 40) for w in "review canister plan inspection site holder before start report file modern modem".split()]
+    asked = spark.createDataFrame([("inspcction", 1), ("canistor", 1), ("revview", 1), ("nothing", 1)], "word string, n long")
+    vocabulary = spark.createDataFrame(words, "word string, n long")
+    one = {tuple(r) for r in S.candidates(asked, vocabulary).collect()}
+    monkeypatch.setattr(S, "SHARD_WORDS", 3)
+    monkeypatch.setattr(S, "QUERY_WORDS", 1)
+    assert {tuple(r) for r in S.candidates(asked, vocabulary).collect()} == one
+    assert {(r[0], r[1]) for r in one} == {("inspcction", "inspection"), ("canistor", "canister"), ("revview", "review")}
+
+
+def test_words_that_are_not_sent_are_asked_for(spark, monkeypatch):
+    recs = [rec(i, BASE) for i in range(12)] + [rec(20, BASE + "The storage canis-\nter is reported."), rec(21, BASE + "The inspcction plan is kept."), rec(24, BASE + "The site-\nspecific plan, short- and long-term.")]
+    whole = {tuple(r) for r in S.found(*tables(spark, recs)).collect()}
+    monkeypatch.setattr(S, "SENT_WORDS", 4)
+    assert {tuple(r) for r in S.found(*tables(spark, recs)).collect()} == whole == {("records", "r20", "hyphen"), ("records", "r21", "ocr")}
+
+
+def test_misreadings_outside_the_list(spark):
+    """With the production parameters; beside the right neighbours only."""
+    recs = [rec(i, BASE) for i in range(12)]
+    recs += [rec(20, BASE + "The site-specific inspoction plan is kept."), rec(21, BASE + "The storage camister is reported."), rec(22, BASE + "The site-specific insprctivn plan is kept."), rec(23, BASE + "The licence hqlder is reported.")]
+    recs += [rec(30, BASE + "The planned filer of the plan is kept."), rec(31, BASE + "The storage canisters is reported.")]  # other words, beside others; one more letter, beside the same
+    got = {tuple(r) for r in S.found(*tables(spark, recs)).collect()}
+    assert {("records", f"r{i}", "ocr") for i in (20, 21, 22)} <= got and not {("records", "r30", "ocr"), ("records", "r31", "ocr")} & got
+    fixed = {r["row_key"]: r["text"] for r in S.repaired(*tables(spark, recs)).collect()}
+    assert fixed["r20"].endswith("The site-specific inspection plan is kept.") and fixed["r22"].endswith("The site-specific inspection plan is kept.")
+
+
+def test_letters_beyond_ascii(spark):
+    recs = [rec(i, BASE + "The sûreté of the site is kept on file.") for i in range(12)] + [rec(20, BASE + "The sûrcté of the site is kept on file."), rec(21, BASE + "The surete of the site is kept on file.")]
+    assert {tuple(r) for r in S.found(*tables(spark, recs)).collect()} == {("records", "r20", "ocr")}
+
+
+def test_context_picks_the_candidate(spark):
+    base = "the horse rider of the site and the house keeper of the site are kept. " * 3
+    recs = [rec(i, base) for i in range(12)] + [rec(20, base + "and the hoxse rider of the site."), rec(21, base + "and the hoxse keeper of the site.")]
+    fixed = {r["row_key"]: r["text"][-35:] for r in S.repaired(*tables(spark, recs)).collect()}
+    assert "the horse rider" in fixed["r20"] and "the house keeper" in fixed["r21"]
 
 
 def test_found_kinds(spark):
