@@ -53,3 +53,26 @@ def test_statistics(spark):
     r = K.statistics(make(spark, [("a", "paragraph", "The cat is here.\nTwo cats sat")])).first()
     assert (r["s_words"], r["s_lines"], r["s_line_end"], r["s_common"]) == (7.0, 2.0, 0.5, 2 / 7)
     assert abs(r["s_word_length"] - sum(map(len, "The cat is here Two cats sat".split())) / 7) < 1e-9
+
+
+def test_numbered_entries_are_no_figures(spark):
+    text = "\n".join(f"{i}. Passive {n}" for i, n in enumerate(NOUNS[:6], 1))
+    r = K.statistics(make(spark, [("a", "paragraph", text)])).first()
+    assert (r["s_figures"], r["s_figure_cells"], r["s_bulleted"]) == (0.0, 0.0, 1.0)
+
+
+def test_accuracies_are_learned(spark):
+    """A function that votes at random is outvoted, though nothing but agreement tells."""
+    random.seed(2)
+    lfs = K.labelling_functions()
+    names = [k for _, k, _ in lfs]
+    first_list = names.index("list")
+    counts = {}
+    for _ in range(4000):
+        kind = random.choices(K.KINDS, (6, 1, 1, 1))[0]
+        v = "".join("1" if (random.random() < 0.5 if j == first_list else random.random() < (0.8 if k == kind else 0.01)) else "0" for j, k in enumerate(names))
+        counts.setdefault(v, []).append(kind)
+    post = K.learn([(v, len(k)) for v, k in sorted(counts.items())])
+    right = sum(K.KINDS[int(post[v].argmax())] == kind for v, ks in counts.items() for kind in ks)
+    by_votes = sum(K.KINDS[max(range(4), key=lambda i: sum(c == "1" and k == K.KINDS[i] for c, k in zip(v, names)))] == kind for v, ks in counts.items() for kind in ks)
+    assert right > 0.97 * 4000 and right > by_votes
