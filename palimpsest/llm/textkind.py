@@ -100,23 +100,25 @@ STATISTICS = (
 def labelling_functions() -> list[tuple[str, str, Column]]:
     """(name, kind voted for, condition on the statistics)."""
     c = F.col
+    # long texts repeat words too, so few words in all are asked for
+    repeated = (c("s_distinct") <= 0.25) & (c("s_distinct") * c("s_words") < 20)
     wordy = (c("s_words") >= 3) & (c("s_single") < 0.5) & (c("s_longest") < 40) & (c("s_vowels") > 0.2) & (c("s_symbols") < 0.2)
     return [
-        ("common words", "prose", (c("s_common") >= 0.2) & (c("s_distinct") > 0.25) & (c("s_words") >= 4) & (c("s_single") < 0.5) & (c("s_short_lines") < 0.6)),
-        ("some common words in sentences", "prose", (c("s_common") >= 0.1) & (c("s_sentences") >= 1) & (c("s_distinct") > 0.3) & (c("s_single") < 0.5) & (c("s_figure_cells") < 0.5) & (c("s_short_lines") <= 0.5)),
+        ("common words", "prose", (c("s_common") >= 0.2) & ~repeated & (c("s_words") >= 4) & (c("s_single") < 0.5) & (c("s_short_lines") < 0.6)),
+        ("some common words in sentences", "prose", (c("s_common") >= 0.1) & (c("s_sentences") >= 1) & ~repeated & (c("s_single") < 0.5) & (c("s_figure_cells") < 0.5) & (c("s_short_lines") <= 0.5)),
         ("ends as a sentence", "prose", (c("s_sentences") >= 1) & (c("s_line_end") > 0) & (c("s_words") >= 5) & (c("s_letters") > 0.6) & (c("s_leaders") == 0) & (c("s_figure_cells") < 0.5)),
         ("long lines of words", "prose", (c("s_words") / F.greatest(c("s_lines"), F.lit(1.0)) >= 5) & (c("s_figures") < 0.25) & (c("s_single") < 0.3) & (c("s_common") >= 0.1)),
         ("figures in most lines", "table", (c("s_common") < 0.15) & (c("s_lines") >= 2) & (c("s_figure_cells") >= 0.5) & (c("s_short_lines") < 0.5)),
         ("cells in most lines", "table", (c("s_common") < 0.15) & (c("s_lines") >= 2) & (c("s_cells") >= 0.7) & (c("s_figures") + c("s_figure_cells") > 0.1) & (c("s_leaders") < 0.3)),
         ("many figures beside words", "table", (c("s_common") < 0.15) & (c("s_lines") >= 2) & (c("s_figures") >= 0.2) & (c("s_words") >= 6) & (c("s_short_lines") < 0.5) & (c("s_leaders") < 0.3)),
         ("lines with bullets", "list", (c("s_lines") >= 2) & (c("s_bulleted") >= 0.7) & wordy),
-        ("short entries", "list", (c("s_entries") >= 2) & wordy & (c("s_common") < 0.08) & (c("s_figures") < 0.15) & (c("s_sentences") == 0) & (c("s_distinct") > 0.3) & (c("s_short_lines") < 0.5)),
-        ("no sentence at all", "list", wordy & (c("s_sentences") == 0) & (c("s_common") < 0.1) & (c("s_figures") < 0.34) & (c("s_distinct") > 0.3) & (c("s_figure_cells") < 0.3) & (c("s_short_lines") < 0.5) & (c("s_leaders") < 0.3)),
+        ("short entries", "list", (c("s_entries") >= 2) & wordy & (c("s_common") < 0.08) & (c("s_figures") < 0.15) & (c("s_sentences") == 0) & ~repeated & (c("s_short_lines") < 0.5)),
+        ("no sentence at all", "list", wordy & (c("s_sentences") == 0) & (c("s_common") < 0.1) & (c("s_figures") < 0.34) & ~repeated & (c("s_figure_cells") < 0.3) & (c("s_short_lines") < 0.5) & (c("s_leaders") < 0.3)),
         ("dot leaders", "junk", c("s_leaders") >= 0.4),
         ("single letters", "junk", (c("s_single") >= 0.5) & (c("s_chars") > 0)),
         ("symbols", "junk", (c("s_symbols") >= 0.25) | (c("s_letters") < 0.35) & (c("s_figures") < 0.3)),
         ("endless word", "junk", c("s_longest") >= 40),
-        ("repetition", "junk", (c("s_words") >= 8) & (c("s_distinct") <= 0.25)),
+        ("repetition", "junk", (c("s_words") >= 8) & repeated),
         ("hardly a vowel", "junk", (c("s_vowels") < 0.2) & (c("s_words") >= 2)),
         ("labels of a drawing", "junk", (c("s_lines") >= 3) & (c("s_short_lines") >= 0.6) & (c("s_sentences") == 0) & (c("s_bulleted") < 0.5) & ((c("s_figures") > 0.05) | (c("s_symbols") > 0.1))),
         ("hardly a word", "junk", (c("s_words") <= 1) & (c("s_common") == 0)),

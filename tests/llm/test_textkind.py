@@ -43,7 +43,7 @@ def test_kinds(spark):
 
 def test_edges(spark):
     assert K.found(make(spark, [])).count() == 0
-    rows = [("a", "paragraph", None), ("b", "paragraph", ""), (None, "paragraph", "x"), ("c", "heading", "■ ■"), ("d", "paragraph", (PROSE.format(a="hot cell", b="glove box") + " ") * 3000)]
+    rows = [("a", "paragraph", None), ("b", "paragraph", ""), (None, "paragraph", "x"), ("c", "heading", "■ ■"), ("d", "paragraph", " ".join(PROSE.format(a=a, b=b) for a in NOUNS for b in NOUNS) * 30)]
     rows += [(f"p{i}", "paragraph", PROSE.format(a="hot cell", b="relief line")) for i in range(30)]
     got = {r["stable_internal_id"]: r["text_kind"] for r in K.found(make(spark, rows)).collect()}
     assert got == {"b": "junk"}
