@@ -59,8 +59,7 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
         rows.withColumn("_lines", lines)
         .withColumn("_words", words)
         .withColumn("_rest", F.regexp_replace(t, r"\p{L}+", ""))
-        .withColumn("_cells", F.filter(F.split(F.regexp_replace(t, rf"(?m)^\s*{ENTRY_SIGN}", ""), space), lambda x: x != ""))
-        .withColumn("_tokens", F.filter(F.split(F.btrim(F.regexp_replace(t, space, " ")), " "), lambda x: x != ""))
+        .withColumn("_tokens", F.filter(F.split(t, space), lambda x: x != ""))
     )
     n_tokens, n_words = F.size(tokens).cast("double"), F.size("_words").cast("double")
     letters = (F.length(t) - F.length("_rest")).cast("double")
@@ -74,7 +73,7 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
             "s_symbols": ratio(only(r"[\p{L}\p{M}\p{N}\s\p{Z}.,;:!?'’“”\"()\-–]+"), visible),
             "s_letters": ratio(letters, visible),
             "s_vowels": ratio((F.length(t) - F.length(F.translate(t, VOWELS, ""))).cast("double"), letters),
-            "s_figures": ratio(F.size(F.filter("_cells", lambda x: x.rlike(r"^[(<≤≥±~]*[0-9][0-9.,:%–-]*[)]?$|^[–-]$|^n\.a\.$"))).cast("double"), F.size("_cells").cast("double")),
+            "s_figures": ratio(F.size(F.filter(tokens, lambda x: x.rlike(r"^[(<≤≥±~]*[0-9](?:[0-9.,:%–-]*[0-9%])?$|^n\.a\.$"))).cast("double"), n_tokens),
             "s_common": ratio(F.size(F.filter("_words", lambda x: x.isin(COMMON_WORDS))).cast("double"), n_words),
             "s_distinct": ratio(F.size(F.array_distinct("_words")).cast("double"), n_words),
             "s_single": ratio(F.size(F.filter(tokens, lambda x: F.length(x) == 1)).cast("double"), n_tokens),
@@ -88,7 +87,7 @@ def statistics(rows: DataFrame, text: str = "text") -> DataFrame:
             "s_entries": F.greatest(n_lines, count(";")),
             "s_sentences": count(r"[\p{L}\p{N})”%][.!?][\"”»’')\]]*(?:\s|$)"),
         }
-    ).drop("_lines", "_words", "_tokens", "_rest", "_cells")
+    ).drop("_lines", "_words", "_tokens", "_rest")
 
 
 STATISTICS = (
