@@ -23,10 +23,9 @@ def _p1_restored(spark, d):
 
 def _p2_found(spark, d):
     records = table(spark, d, "records")
-    # rows loaded before the last tenth of the time are the base, the others its delta; the split changes no count
-    span = records.agg(F.min("extracted_at").cast("timestamp").alias("a"), F.max("extracted_at").cast("timestamp").alias("b")).first()
-    cut = None if span["a"] is None else F.col("extracted_at").cast("timestamp") < F.lit(span["a"] + (span["b"] - span["a"]) * 0.9)
-    return sitelines.found_lines(records, boundary=cut)
+    # the nine tenths loaded first are counted, the last tenth is merged as a delta
+    at = records.agg(F.percentile_approx(F.unix_micros(F.col("extracted_at").cast("timestamp")), 0.9)).first()[0]
+    return sitelines.found_lines(records, boundary=None if at is None else F.unix_micros(F.col("extracted_at").cast("timestamp")) < at)
 
 
 def _p2_clean(spark, d):

@@ -3,8 +3,9 @@
 Every line is reduced to its letters in lower case. A count table holds, for
 each (source, line), the number of distinct documents that contain it. New
 partitions are merged as deltas: only their own lines are counted and added,
-lines that cross the threshold in either direction come out, and only the
-documents that hold such a line are rebuilt.
+and the lines that cross the threshold in either direction are written down.
+The lines to be removed are those that have crossed upwards and not back; only
+documents that hold a newly crossed line are rebuilt.
 
 Defined results: null text has no lines; null sources and null documents are
 left out of the counts; repeated rows count once; empty tables give empty
@@ -13,9 +14,13 @@ results; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import ensure_checkpoint_dir
+
 #: A line with fewer letters is never boilerplate.
 MIN_LETTERS = 12
 #: Least number of documents, and least share of the source's documents.
@@ -67,28 +72,15 @@ def line_pairs(lines: DataFrame) -> DataFrame:
     return lines.where("source is not null and document is not null").select("source", "key", "key2", "document").distinct()
 
 
-def merge_counts(base_counts: DataFrame, base_pairs: DataFrame, delta_pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Add a delta to a line-count table.
-
-    Returns the new counts and the delta's new triples (those the base did
-    not have, as rows of a known document may arrive late).
-    """
-    fresh = delta_pairs.join(base_pairs, ["source", "key", "key2", "document"], "left_anti")
-    added = fresh.groupBy("source", "key", "key2").agg(F.count("*").alias("n"))
-    merged = base_counts.unionByName(added).groupBy("source", "key", "key2").agg(F.sum("n").alias("n"))
-    return merged, fresh
-
-
 def frequent_lines(counts: DataFrame, n_docs: DataFrame) -> DataFrame:
     """Lines at or above the threshold.
 
     A source whose documents hold L distinct lines on average has at most
-    L / MIN_SHARE such lines, whatever its number of documents; this bound is
-    why the result may be broadcast.
+    L / MIN_SHARE such lines, whatever its number of documents.
     """
     return (
         counts.where(F.col("n") >= MIN_DOCS)
-        .join(F.broadcast(n_docs), "source")  # one row per source
+        .join(n_docs, "source")  # one row per source: broadcast by its size where it is small
         .where(F.col("n") >= F.col("n_docs") * F.lit(MIN_SHARE))
         .select("source", "key", "key2", "n", "n_docs")
     )
@@ -102,31 +94,25 @@ def crossings(before: DataFrame, after: DataFrame) -> DataFrame:
     return up.unionByName(down)
 
 
-def found_lines(records: DataFrame, *, boundary: Column | None = None) -> DataFrame:
+def lines_of(records: DataFrame, often: DataFrame) -> DataFrame:
+    """(record_id, line_no) of the given lines (source, key, key2) in non-heading records."""
+    lines = source_lines(records.where("element_type is null or element_type <> 'heading'"))
+    return lines.join(often, ["source", "key", "key2"]).select(F.col("row").alias("record_id"), "line_no").distinct()
+
+
+def found_lines(records: DataFrame, *, boundary: Column | None = None, path: str | None = None) -> DataFrame:
     """(record_id, line_no) of boilerplate lines of non-heading records.
 
-    ``boundary`` splits the table into the partitions already counted (true)
-    and the delta; the counts are the base's plus the delta's new triples, so
-    the result is the same for every split.
+    The rows for which ``boundary`` holds (all, where there is none) are
+    counted first, the others are merged as a delta. ``path`` is the folder
+    of the counts; without one a new folder is made beside the checkpoints.
     """
-    lines = source_lines(records.withColumn("_base", F.lit(True) if boundary is None else F.coalesce(boundary, F.lit(False))), keep=["_base", "element_type"])
-    # base and delta in one shuffle: a triple the base has is not new in the delta
-    triples = (
-        lines.where("source is not null and document is not null")
-        .groupBy("source", "key", "key2", "document")
-        .agg(F.max("_base").alias("in_base"))
-    )
-    counts = triples.groupBy("source", "key", "key2").agg(
-        F.count_if(F.col("in_base")).alias("n_base"), F.count_if(~F.col("in_base")).alias("n_delta")
-    )
-    merged = counts.select("source", "key", "key2", (F.col("n_base") + F.col("n_delta")).alias("n"))
-    often = frequent_lines(merged, document_counts(records)).select("source", "key", "key2")
-    return (
-        lines.where("element_type is null or element_type <> 'heading'")
-        .join(F.broadcast(often), ["source", "key", "key2"])
-        .select(F.col("row").alias("record_id"), "line_no")
-        .distinct()
-    )
+    store = LineCountStore(records.sparkSession, path or f"{ensure_checkpoint_dir(records.sparkSession).rstrip('/')}/line-counts-{uuid.uuid4().hex}")
+    first = F.lit(True) if boundary is None else F.coalesce(boundary, F.lit(True))
+    store.add(records.where(first))
+    if boundary is not None:
+        store.add(records.where(~first))
+    return lines_of(records, store.lines())
 
 
 def strip_lines(records: DataFrame, found: DataFrame) -> DataFrame:
@@ -141,45 +127,88 @@ def strip_lines(records: DataFrame, found: DataFrame) -> DataFrame:
 
 
 class LineCountStore:
-    """A persistent line-count table in a shared folder, one sub-folder per version."""
+    """A persistent line-count table in a shared folder, one sub-folder per version.
+
+    A version counts once its mark is written, so what a lost run left is
+    written over; a store opened on a folder goes on from its last version.
+    """
 
     def __init__(self, spark, path: str):
-        self.spark, self.path, self.version = spark, path.rstrip("/"), 0
+        self.spark, self.path = spark, path.rstrip("/")
+        self.version = 0
+        while self._marked(self.version + 1):
+            self.version += 1
+
+    def _fs(self, at: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _marked(self, version: int) -> bool:
+        fs, p = self._fs(f"{self.path}/v{version}/_done")
+        return fs.exists(p)
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        if self.version == 0:
+    def _read(self, name: str, schema: str, versions: list[int]) -> DataFrame:
+        if not versions:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.path}/v{self.version}/{name}")
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/v{v}/{name}" for v in versions])
+
+    def _last(self) -> list[int]:
+        return [self.version] if self.version else []
+
+    def _all(self) -> list[int]:
+        return list(range(1, self.version + 1))
 
     def counts(self) -> DataFrame:
-        return self._read("counts", "source string, key long, key2 long, n long")
+        return self._read("counts", "source string, key long, key2 long, n long", self._last())
+
+    def documents(self) -> DataFrame:
+        return self._read("documents", "source string, n_docs long", self._last())
 
     def pairs(self) -> DataFrame:
-        if self.version == 0:
-            return self._read("pairs", "source string, key long, key2 long, document string")
-        parts = [self.spark.read.parquet(f"{self.path}/v{v}/pairs") for v in range(1, self.version + 1)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        """The distinct (source, line, document) of all partitions; each version adds its new ones."""
+        return self._read("pairs", "source string, key long, key2 long, document string", self._all())
 
-    def documents(self) -> DataFrame:
-        return self._read("documents", "source string, n_docs long")
+    def known_documents(self) -> DataFrame:
+        return self._read("docs", "source string, document string", self._all())
+
+    def crossed(self, version: int | None = None) -> DataFrame:
+        """Lines that crossed the threshold with a version (the last one): source, key, key2, frequent."""
+        return self._read("crossed", "source string, key long, key2 long, frequent boolean", [version or self.version] if self.version else [])
+
+    def lines(self) -> DataFrame:
+        """Lines above the threshold, from what has crossed so far: source, key, key2."""
+        return self._read("frequent", "source string, key long, key2 long", self._last())
 
     def add(self, rows: DataFrame) -> DataFrame:
-        """Merge a partition; returns the lines that crossed the threshold."""
-        before = frequent_lines(self.counts(), self.documents())
-        merged, fresh = merge_counts(self.counts(), self.pairs(), line_pairs(source_lines(rows)))
+        """Merge a partition; returns the lines that crossed the threshold.
+
+        Of what was counted before, only the triples of the partition's own
+        documents and the sums are needed; no earlier text is read.
+        """
         at = f"{self.path}/v{self.version + 1}"
+        held = rows.select(F.col("series_name").alias("source"), F.col("document_id").alias("document")).where("source is not null and document is not null").distinct()
+        fresh_docs = held.join(self.known_documents(), ["source", "document"], "left_anti") if self.version else held
+        fresh_docs.write.mode("overwrite").parquet(f"{at}/docs")
+        new_docs = self.spark.read.parquet(f"{at}/docs").groupBy("source").agg(F.count("*").alias("n_docs"))
+        self.documents().unionByName(new_docs).groupBy("source").agg(F.sum("n_docs").alias("n_docs")).write.mode("overwrite").parquet(f"{at}/documents")
+
+        delta = line_pairs(source_lines(rows))
+        fresh = delta.join(self.pairs(), ["source", "key", "key2", "document"], "left_anti") if self.version else delta
         fresh.write.mode("overwrite").parquet(f"{at}/pairs")
+        added = self.spark.read.parquet(f"{at}/pairs").groupBy("source", "key", "key2").agg(F.count("*").alias("n"))
+        merged = self.counts().unionByName(added).groupBy("source", "key", "key2").agg(F.sum("n").alias("n")) if self.version else added
         merged.write.mode("overwrite").parquet(f"{at}/counts")
-        # documents without any long line count too, so they are kept as triples of their own
-        docs = rows.select(F.col("series_name").alias("source"), F.col("document_id").alias("document")).where("source is not null and document is not null").distinct()
-        docs.write.mode("overwrite").parquet(f"{at}/docs")
-        seen = self.spark.read.parquet(*[f"{self.path}/v{v}/docs" for v in range(1, self.version + 2)])
-        seen.distinct().groupBy("source").agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{at}/documents")
+
+        key = ["source", "key", "key2"]
+        after = frequent_lines(self.spark.read.parquet(f"{at}/counts"), self.spark.read.parquet(f"{at}/documents")).select(*key)
+        crossings(self.lines(), after).write.mode("overwrite").parquet(f"{at}/crossed")
+        crossed = self.spark.read.parquet(f"{at}/crossed")
+        kept = self.lines().join(crossed.where("not frequent"), key, "left_anti")
+        kept.unionByName(crossed.where("frequent").select(*key)).coalesce(1).write.mode("overwrite").parquet(f"{at}/frequent")
+        fs, p = self._fs(f"{at}/_done")
+        fs.create(p, True).close()
         self.version += 1
-        return crossings(before, frequent_lines(self.counts(), self.documents()))
+        return self.crossed()
 
     def documents_to_rebuild(self, crossed: DataFrame) -> DataFrame:
         """(source, document) of every document that holds a line that crossed."""

@@ -69,3 +69,26 @@ def test_store_merges_deltas(spark, tmp_path):
     assert {tuple(r) for r in S.frequent_lines(store.counts(), store.documents()).collect()} == {tuple(r) for r in S.frequent_lines(once.counts(), once.documents()).collect()}
     touched = store.documents_to_rebuild(crossed)
     assert 0 < touched.count() < 9
+
+
+def test_store_goes_on_where_it_stopped(spark, tmp_path):
+    store = S.LineCountStore(spark, str(tmp_path))
+    store.add(make(spark, ROWS[:5]))
+    (tmp_path / "v2").mkdir()  # what a lost run left
+    again = S.LineCountStore(spark, str(tmp_path))
+    assert again.version == 1
+    again.add(make(spark, ROWS[5:]))
+    again.add(make(spark, ROWS[:3]))  # nothing new: nothing crosses
+    assert S.LineCountStore(spark, str(tmp_path)).version == 3 and again.crossed().count() == 0
+    key = ["source", "key", "key2"]
+    want = {tuple(r) for r in S.frequent_lines(again.counts(), again.documents()).select(*key).collect()}
+    assert {tuple(r) for r in again.lines().collect()} == want and want
+
+
+def test_lines_fall_back_below_the_threshold(spark, tmp_path):
+    line = "A line of boilerplate"
+    base = [(f"r{i}", f"d{i}", "A", None, line if i < 3 else "Other words of its own %s" % ("x" * i)) for i in range(6)]
+    more = [(f"s{i}", f"e{i}", "A", None, "Yet more words of its own") for i in range(1)] + [(f"t{i}", f"f{i}", "A", None, "words " * 3 + "y" * i) for i in range(20)]
+    store = S.LineCountStore(spark, str(tmp_path))
+    assert [r["frequent"] for r in store.add(make(spark, base)).collect()] == [True]
+    assert [r["frequent"] for r in store.add(make(spark, more)).collect()] == [False] or store.lines().count() == 0
