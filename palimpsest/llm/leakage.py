@@ -29,11 +29,14 @@ from palimpsest.session import checkpoint, ship_package
 
 #: Least number of consecutive words that count as a leaked passage.
 MIN_MATCH = 12
+#: Least length of a tile, and so of the windows that are looked up; least share of an item under tiles that counts as leaked.
+MIN_TILE, MIN_COVERAGE = 8, 0.6
 #: Evaluation items are read to the driver; more characters than this are refused.
 MAX_ITEM_CHARS = 50_000_000
 
 WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def words(text: str | None) -> list[str]:
@@ -41,12 +44,19 @@ def words(text: str | None) -> list[str]:
 
 
 def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """Karp-Rabin hash of every window of n ids, modulo 2**64."""
-    h = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    """Running Karp-Rabin hash of every window of n ids, modulo 2**64.
+
+    The sum of x[j] * base**j runs along; a window is the difference of two
+    sums, shifted back to its own place by a power of the base's inverse.
+    """
+    if len(ids) < n:
+        return np.zeros(0, np.uint64)
     x = ids.astype(np.uint64) + np.uint64(1)
-    for k in range(n):
-        h = h * _BASE + x[k : k + len(h)]
-    return h
+    up = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(x) - 1, _BASE, np.uint64))), dtype=np.uint64)
+    down = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(x) - n, _INVERSE, np.uint64))), dtype=np.uint64)
+    run = np.concatenate(([np.uint64(0)], np.cumsum(x * up, dtype=np.uint64)))
+    h = (run[n:] - run[:-n]) * down
+    return h ^ (h >> np.uint64(31))
 
 
 def runs(known: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -58,8 +68,8 @@ def runs(known: np.ndarray, least: int) -> list[tuple[int, int]]:
 class ItemIndex:
     """Vocabulary and window hashes of the evaluation items."""
 
-    def __init__(self, items: list[tuple[int, str]], min_match: int = MIN_MATCH):
-        self.n = min_match
+    def __init__(self, items: list[tuple[int, str]], min_tile: int = MIN_TILE):
+        self.n = min_tile
         self.vocabulary: dict[str, int] = {}
         self.items: dict[int, np.ndarray] = {}
         for item, text in items:
@@ -68,7 +78,7 @@ class ItemIndex:
                 self.items[item] = np.array(ids, np.int64)
         hashes, owner, at = [], [], []
         for item, ids in self.items.items():
-            h = window_hashes(ids, min_match)
+            h = window_hashes(ids, min_tile)
             hashes.append(h)
             owner.append(np.full(len(h), item, np.int64))
             at.append(np.arange(len(h)))
@@ -123,17 +133,15 @@ def tiles(item: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]], least
 LEAKED = "item_id long, doc_id long, n_tiles long, longest long, matched_words long, item_words long, coverage double"
 
 
-def leaked(documents: DataFrame, items: DataFrame, *, min_match: int = MIN_MATCH, min_coverage: float = 0.0) -> DataFrame:
-    """One row per (item, document) that shares a passage, with tiles and coverage of the item.
-
-    ``min_coverage`` is the least share of the item's words under its tiles.
-    """
+def leaked(documents: DataFrame, items: DataFrame, *, min_tile: int = MIN_TILE) -> DataFrame:
+    """One row per (item, document) that shares a tile, with tiles and coverage of the item."""
     spark = documents.sparkSession
     ship_package(spark)
-    rows = [(r[0], r[1]) for r in items.select("item_id", "text").where("text is not null and item_id is not null").distinct().toLocalIterator()]
-    if sum(len(t) for _, t in rows) > MAX_ITEM_CHARS:
+    given = items.select("item_id", "text").where("text is not null and item_id is not null").distinct()
+    if (given.agg(F.sum(F.length("text"))).first()[0] or 0) > MAX_ITEM_CHARS:
         raise ValueError("the evaluation items are too large to be sent to every executor; pass them in parts")
-    index = spark.sparkContext.broadcast(ItemIndex(sorted(rows), min_match))
+    rows = [(r[0], r[1]) for r in given.toLocalIterator()]
+    index = spark.sparkContext.broadcast(ItemIndex(sorted(rows), min_tile))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ix = index.value
@@ -147,25 +155,29 @@ def leaked(documents: DataFrame, items: DataFrame, *, min_match: int = MIN_MATCH
                 for item, seeds in ix.seeds(ids).items() if len(ids) >= ix.n else ():
                     t = tiles(ix.items[item], ids, seeds, ix.n)
                     n, total = sum(k for _, _, k in t), len(ix.items[item])
-                    if n / total >= min_coverage:
-                        out.append((item, doc, len(t), max(k for _, _, k in t), n, total, n / total))
+                    out.append((item, doc, len(t), max(k for _, _, k in t), n, total, n / total))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in LEAKED.split(", ")])
 
     return documents.select("doc_id", "text").where("text is not null and doc_id is not null").mapInPandas(find, LEAKED)
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(item_id, doc_id): the document holds at least 12 consecutive words of the item."""
+    """(item_id, doc_id): the document holds at least 12 consecutive words of the item, so its longest tile has as many."""
     return leaked(documents, items).where(f"longest >= {MIN_MATCH}").select("item_id", "doc_id").distinct()
 
 
-def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """Per leaked item: number of documents and of sources, best coverage, longest passage."""
-    hits = leaked(documents, items).groupBy("item_id", "doc_id").agg(F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
+def leak_report(documents: DataFrame, items: DataFrame, *, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """Per leaked item: number of documents, of those found by coverage alone, and of sources; best coverage, longest passage.
+
+    A document counts if it holds a passage of ``MIN_MATCH`` words, or if
+    tiles in whatever order cover ``min_coverage`` of the item.
+    """
+    each = leaked(documents, items).where((F.col("longest") >= MIN_MATCH) | (F.col("coverage") >= min_coverage))
+    hits = each.groupBy("item_id", "doc_id").agg(F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
     hits = checkpoint(hits)  # few rows; the corpus is then read again for their sources only
     src = documents.select("doc_id", "source").join(hits.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return (
         hits.join(src, "doc_id")
         .groupBy("item_id")
-        .agg(F.count("*").alias("n_docs"), F.countDistinct("source").alias("n_sources"), F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
+        .agg(F.count("*").alias("n_docs"), F.count_if(F.col("longest") < MIN_MATCH).alias("n_by_coverage"), F.countDistinct("source").alias("n_sources"), F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
     )

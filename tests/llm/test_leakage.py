@@ -56,8 +56,39 @@ def test_coverage_and_empty(spark):
     dd, ii = make(spark, [(1, text), (2, " ".join(text.split()[:12]))], [(7, text)])
     got = {r["doc_id"]: r["coverage"] for r in L.leaked(dd, ii).collect()}
     assert got == {1: 1.0, 2: 0.5}
-    assert L.leaked(dd, ii, min_coverage=0.6).count() == 1
+    assert L.leak_report(dd, ii, min_coverage=0.6).first()["n_docs"] == 2
     dd, ii = make(spark, [], [])
     assert L.found(dd, ii).count() == 0 and L.leak_report(dd, ii).count() == 0
     dd, ii = make(spark, [(1, "filler " * 200000 + text)], [(7, text), (7, text)])
     assert L.found(dd, ii).count() == 1
+
+
+def test_windows_equal_direct_hashes():
+    import numpy as np
+
+    ids = np.random.default_rng(3).integers(-1, 40, 3000)
+    for n in (1, 8, 12, 2999, 3000, 3001):
+        h = L.window_hashes(ids, n)
+        same = {}
+        for i in range(len(h)):
+            same.setdefault(tuple(ids[i : i + n]) if n < 100 else i, set()).add(int(h[i]))
+        assert len(h) == max(0, 3001 - n) and all(len(x) == 1 for x in same.values()) and len(set(h.tolist())) == len(same)
+
+
+def test_reordered_passages_count_by_coverage(spark):
+    words = [f"w{i}" for i in range(40)]
+    mixed = [w for a in (30, 20, 10, 0) for w in words[a : a + 10]]
+    few = words[:10] + ["x"] * 30
+    dd, ii = make(spark, [(1, " ".join(mixed)), (2, " ".join(few))], [(7, " ".join(words))])
+    assert L.found(dd, ii).count() == 0
+    r = L.leak_report(dd, ii).collect()
+    assert [(x["item_id"], x["n_docs"], x["n_by_coverage"], x["coverage"]) for x in r] == [(7, 1, 1, 1.0)]
+    assert L.leak_report(dd, ii, min_coverage=0.2).first()["n_docs"] == 2
+
+
+def test_too_large_items_are_refused(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(L, "MAX_ITEM_CHARS", 10)
+    with pytest.raises(ValueError):
+        L.leaked(*make(spark, [(1, "a")], [(1, "some words of an item")]))
