@@ -19,16 +19,25 @@ FIGURE = rf"^(?:FIG\.|Fig\.){S}+({NUM})\.{S}*(.*)"
 TABLE = rf"^TABLE{S}+({NUM})\.{S}*(.*)"
 REFERENCE = rf"^\[({D}+)\]{S}*(.*)"
 FOOTNOTE = rf"^({D}{{1,2}}){S}+([A-Z][^\n]{{8,}}|[A-Za-z].{{8,}})"
-REQUIREMENT = rf"(?i)^requirement{S}+({D}+[A-Z]?):{S}*(.*)"
+REQUIREMENT = rf"(?i)^Requirement{S}+({D}+[A-Z]?):{S}*(.*)"
 PAGE_NUMBER = rf"^{D}{{1,4}}$"
 MAJOR_HEADING = rf"^({D}+)\.{S}+([A-Z].*)"
-ANNEX_HEADING = rf"(?i)^annex(?:{S}+({ROMAN}))?{S}*$"
-APPENDIX_HEADING = rf"(?i)^appendix(?:{S}+({ROMAN}))?{S}*$"
+ANNEX_HEADING = rf"(?i)^Annex(?:{S}+({ROMAN}))?{S}*$"
+APPENDIX_HEADING = rf"(?i)^Appendix(?:{S}+({ROMAN}))?{S}*$"
 REFERENCES_HEADING = rf"^REFERENCES{S}*$"
 GLOSSARY_HEADING = rf"^GLOSSARY{S}*$"
 RELATED_HEADING = rf"^RELATED PUBLICATIONS{S}*$"
 CONTENTS_HEADING = rf"^CONTENTS{S}*$"
-BACK_MATTER_HEADING = rf"(?i)^(?:contributors to drafting and review|bodies for the endorsement.*|ordering locally){S}*$"
+BACK_MATTER_HEADING = rf"(?i)^(?:CONTRIBUTORS TO DRAFTING AND REVIEW|BODIES FOR THE ENDORSEMENT.*|ORDERING LOCALLY){S}*$"
+SECTION_NAME = rf"(?i)^(?:Appendix|Annex){S}+{ROMAN}$|^REFERENCES$"
+NUMBER_AND_NAME = rf"(?i)^{D}{{1,3}}{S}+(?:Appendix{S}+{ROMAN}|Annex{S}+{ROMAN}|REFERENCES)$"
+SERIES_NUMBER = rf"(?i)^No\.{S}+{D}+$"
+OUTLINE = rf"^{D}+(?:\.{D}+){{1,8}}\.{S}*(?:\S.*)?$"
+OUTLINE_ENTRY = rf"(?i)^{D}+\.{S}+\S|^{D}+\.$|^CHAPTER{S}+{D}+[:.]{S}+\S"
+TABLE_HEAD = rf"(?i)^APPENDIX{S}+{ROMAN}$|^TABLE{S}+{D}+:{S}*$"
+MODAL = r"(?i)\b(?:shall|should|must|is|are|was|were|has|have|may)\b"
+REQUIREMENT_INSIDE = rf"(?i)\bRequirement{S}+({D}+[A-Z]?):{S}*"
+JOINERS = ("and", "or", "of", "the", "in", "to", "for", "with")
 CONTENTS_ENTRY = r"\. \. \.|\.{3,}"
 CONTINUED = r"(?i)\(cont\.\)"
 

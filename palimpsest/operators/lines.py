@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,63 +56,69 @@ def with_furniture(lines: DataFrame) -> DataFrame:
     from pyspark.sql.window import Window
 
     w = Window.partitionBy("source_file", "pdf_page").orderBy("line_no")
-    name = rf"(?i)^(?:appendix|annex){P.S}+{P.ROMAN}$|^REFERENCES$"
-    both = rf"(?i)^{P.D}{{1,3}}{P.S}+(?:appendix{P.S}+{P.ROMAN}|annex{P.S}+{P.ROMAN}|references)$"
     number = lambda c: F.coalesce(c.rlike(P.PAGE_NUMBER), F.lit(False))
-    named = lambda c: F.coalesce(c.rlike(name), F.lit(False))
+    named = lambda c: F.coalesce(c.rlike(P.SECTION_NAME), F.lit(False))
     l, before, after = F.col("line"), F.lag("line").over(w), F.lead("line").over(w)
-    flag = l.rlike(both) | (number(l) & named(after)) | (named(l) & number(before)) | (l.rlike(rf"(?i)^no\.{P.S}+{P.D}+$") & F.coalesce(after.rlike(P.BACK_MATTER_HEADING), F.lit(False)))
+    flag = l.rlike(P.NUMBER_AND_NAME) | (number(l) & named(after)) | (named(l) & number(before)) | (l.rlike(P.SERIES_NUMBER) & F.coalesce(after.rlike(P.BACK_MATTER_HEADING), F.lit(False)))
     return lines.withColumn("furniture", flag)
 
 
 # --- joining of wrapped lines (kernel) ----------------------------------
 
-_STARTS = re.compile(
-    "|".join(
-        f"(?:{p})"
-        for p in (
-            r"(?:\d+\.\d+|\d{3}(?:\.\d+)?)\.", r"A\.\d+\.", r"[IVXLCDM]+[-‑–—]\d+\.", r"\d+\.\s+[A-Z]", r"(?:FIG\.|Fig\.)\s+(?:[IVXLCDM]+[-‑–—])?\d+\.", r"TABLE\s+(?:[IVXLCDM]+[-‑–—])?\d+\.",
-            r"\d{1,2}\s+(?:[A-Z][^\n]{8,}|[A-Za-z].{8,})", r"(?i:requirement)\s+\d+[A-Za-z]?:", r"\[\d+\]", r"(?i:annex|appendix)(?:\s+(?i:[IVXLCDM]+))?\s*$",
-            r"(?:REFERENCES|GLOSSARY|RELATED PUBLICATIONS|CONTENTS)\s*$", r"(?i:contributors to drafting and review|bodies for the endorsement.*|ordering locally)\s*$",
-        )
-    )
-)
-_TABLE_LINE = re.compile(r"TABLE\s+(?:[IVXLCDM]+[-‑–—])?\d+\.")
-_NOT_CAPS = re.compile(r"(?:FIG\.|Fig\.)\s+(?:[IVXLCDM]+[-‑–—])?\d+\.|TABLE\s+(?:[IVXLCDM]+[-‑–—])?\d+\.|(?:\d+\.\d+|\d{3}(?:\.\d+)?)\.|A\.\d+\.|[IVXLCDM]+[-‑–—]\d+\.")
+_any = lambda *patterns: regex.compile("|".join(p if not p.startswith("(?i)") else f"(?i:{p[4:]})" for p in patterns))
+_NUMBERED = (P.BODY_PARAGRAPH, P.APPENDIX_PARAGRAPH, P.ANNEX_PARAGRAPH, P.FIGURE, P.TABLE)
+_NOT_CAPS = _any(*_NUMBERED)
+_STARTS = _any(
+    *_NUMBERED, P.MAJOR_HEADING, P.FOOTNOTE, P.REQUIREMENT, P.REFERENCE, P.ANNEX_HEADING, P.APPENDIX_HEADING, P.REFERENCES_HEADING, P.GLOSSARY_HEADING, P.RELATED_HEADING, P.CONTENTS_HEADING, P.BACK_MATTER_HEADING
+)
+_TABLE_LINE = regex.compile(P.TABLE)
+
+
+class _Run:
+    """Lines that were one before they were wrapped, with what is asked of their whole kept up to date."""
+
+    def __init__(self, line: str):
+        self.parts, self.first, self.size, self.letters, self.capitals = [], line, -1, 0, 0
+        self.alone = line in P.KNOWN_HEADINGS or bool(_TABLE_LINE.match(line))
+        self.add(line)
+
+    def add(self, line: str) -> None:
+        hyphen = bool(self.parts) and bool(re.search("[a-z][-‑]$", self.parts[-1])) and "a" <= line[0] <= "z"
+        if hyphen:
+            self.parts[-1] = self.parts[-1][:-1]
+        self.parts.append(line if hyphen or not self.parts else " " + line)
+        self.size += len(line) + (-1 if hyphen else 1)
+        self.letters += sum(map(str.isalpha, line))
+        self.capitals += sum(map(str.isupper, filter(str.isalpha, line)))
+
+    @property
+    def caps(self) -> bool:
+        return self.size >= 4 and self.letters >= 4 and self.capitals > 0.82 * self.letters and not _NOT_CAPS.match(self.first)
+
+    def goes_on(self, line: str) -> bool:
+        """Whether a line that begins no element continues the run."""
+        new_sentence = self.parts[-1][-1] in ".:;?!" and line[0].isupper()
+        return self.letters > 0 and any(map(str.isalpha, line)) and not (new_sentence or self.alone or self.caps)
 
 
 def caps_heading(line: str) -> bool:
     """Kernel twin of ``functions.text.is_caps_heading``."""
-    if len(line) < 4 or _NOT_CAPS.match(line):
-        return False
-    letters = [c for c in line if c.isalpha()]
-    return len(letters) >= 4 and sum(map(str.isupper, letters)) / len(letters) > 0.82
+    return bool(line) and _Run(line).caps
 
 
 def begins_element(line: str) -> bool:
     return bool(_STARTS.match(line)) or line in P.KNOWN_HEADINGS or caps_heading(line)
 
 
-def _goes_on(before: str, line: str) -> bool:
-    """Whether a line continues the joined text before it."""
-    closed = _TABLE_LINE.match(before) or before in P.KNOWN_HEADINGS or caps_heading(before) or begins_element(line)
-    sentence_over = before[-1] in ".:;?!" and line[0].isupper()
-    return not closed and not sentence_over and any(map(str.isalpha, before)) and any(map(str.isalpha, line))
-
-
 def unwrap(lines: list[str]) -> list[str]:
     """Lines with those joined that were wrapped; a hyphen between lower-case letters goes."""
-    out: list[str] = []
-    for line in lines:
-        if not line:
-            continue
-        if not out or not _goes_on(out[-1], line):
-            out.append(line)
-        elif re.search("[a-z][-‑]$", out[-1]) and "a" <= line[0] <= "z":
-            out[-1] = out[-1][:-1] + line
+    runs: list[_Run] = []
+    for line in filter(None, lines):
+        if runs and not begins_element(line) and runs[-1].goes_on(line):
+            runs[-1].add(line)
         else:
-            out[-1] = f"{out[-1]} {line}"
-    return out
+            runs.append(_Run(line))
+    return ["".join(r.parts) for r in runs]
 
 
 def unwrapped(pages: DataFrame) -> DataFrame:

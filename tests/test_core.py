@@ -274,8 +274,11 @@ def test_title_helpers(spark):
     df = spark.createDataFrame([("in/NSS 17-T (Rev. 1) computer_security guide.pdf", "No. 17-T Technical Guidance big plan Jointly sponsored by X")], "f string, n string")
     r = df.select(T.from_file_name(F.col("f"), [r"NSS\s+\d+(?:-[A-Z])?(?:\s*\(Rev\.?\s*\d+\))?"]).alias("a"), T.from_file_name(F.lit("x/plain.pdf"), []).alias("b"), T.from_series_number(F.lit("No. 5: Technical Guidance big plan Jointly sponsored by X"), ["Technical Guidance"]).alias("c")).first()
     assert r["a"] == "Computer Security Guide" and r["b"] == "Plain" and "Jointly" not in r["c"]
-    assert T.from_title_page(["x", "Technical Guidance", "COMPUTER SECURITY", "FOR LARGE FACILITIES", "VIENNA, 2001"], ["technical guidance"], ["^vienna"]) == "Computer Security For Large Facilities"
-    assert T.from_title_page(["no category"], ["guide"]) == "" and T.from_title_page([], []) == ""
+    page = lambda lines, categories, stop=(): spark.createDataFrame([(lines,)], "l array<string>").select(T.from_title_page(F.col("l"), categories, stop)).first()[0]
+    assert page(["x", "Technical Guidance", "COMPUTER  SECURITY", "FOR LARGE FACILITIES", "VIENNA, 2001"], ["technical guidance"], ["^vienna"]) == "Computer Security For Large Facilities"
+    assert page(["no category"], ["guide"]) == "" and page([], []) == "" and page(None, ["guide"]) == ""
+    assert page(["Guide", "SHORT", "", "Guide", "A LONG ENOUGH TITLE OF A GUIDE", "x"], ["guide"]) == "Short A Long Enough Title Of A Guide"
+    assert page(["Guide", "no", "Guide", "A LONG ENOUGH TITLE OF A GUIDE", "x", "GUIDE"], ["guide"]) == "A Long Enough Title Of A Guide"
     d = spark.createDataFrame([("Use of hot cells", "Use of Hot Cells", ""), ("", "", "Series title here"), ("A file title", "Quite another page", ""), (None, None, None)], "f string, p string, s string")
     assert [x["best_title"] for x in T.choose(d, "f", "p", "s").collect()] == ["Use of Hot Cells", "Series title here", "A file title", ""]
     c = spark.range(1).select(T.category(F.lit("SSG-4"), F.lit("a"), F.array(F.lit("x")), [("Specific Guide", r"\bSSG\b"), ("Guide", r"\bGuide\b")]).alias("a"), T.category(F.lit(""), F.lit(""), F.array(F.lit("• Guides.")), [("Guide", r"\bGuide\b")], {"Guides": "Guide"}).alias("b"), T.category_slug(F.lit("Big Guide"), {"X": "y"}).alias("c"), T.series_name(F.lit("x Beta Series, Alpha Series"), ["Alpha Series", "Beta Series"]).alias("d")).first()
