@@ -17,7 +17,7 @@ def series(spark: SparkSession, source: str, out: str, *, series_config: str | N
     """Page table (Parquet) or folder of text files to records, checks and exports."""
     p = pages.from_parquet(spark, source) if not source.endswith(".txt") else pages.from_text_files(spark, source)
     if limit:
-        p = p.join(F.broadcast(p.select("source_file").distinct().orderBy("source_file").limit(limit)), "source_file", "left_semi")
+        p = p.join(p.select("source_file").distinct().orderBy("source_file").limit(limit), "source_file", "left_semi")
     cfg = config.load(series_config)
     names = [r[0] for r in p.select("source_file").distinct().orderBy("source_file").toLocalIterator()] if cfg or config_dir else []
     docs = metadata.infer(p, config=config.as_table(spark, names, cfg, config_dir) if names else None)

@@ -176,11 +176,8 @@ def run_checks(records: DataFrame, manifest: DataFrame, raw: DataFrame | None =
 def summarize(findings: DataFrame) -> DataFrame:
     """Counts by check, by severity, by document and in all, in one aggregate (dimension, value, n)."""
     f = findings.select("check", "severity", F.coalesce(F.nullif("doc_id", F.lit("")), F.lit("<series>")).alias("doc_id"))
-    f.createOrReplaceTempView("_palimpsest_findings")
-    g = f.sparkSession.sql(
-        "select check, severity, doc_id, grouping_id(check, severity, doc_id) as g, count(*) as n from _palimpsest_findings "
-        "group by grouping sets ((check), (severity), (doc_id), ())"
-    )
+    dims = ["check", "severity", "doc_id"]
+    g = f.groupingSets([*[[c] for c in dims], []], *dims).agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
     dim = F.when(F.col("g") == 3, "check").when(F.col("g") == 5, "severity").when(F.col("g") == 6, "document").otherwise("total")
     return g.select(dim.alias("dimension"), F.coalesce("check", "severity", "doc_id", F.lit("all")).alias("value"), "n")
 

@@ -33,6 +33,21 @@ def classify(kind: Column, region: Column, element_id: Column, section_path: Col
     )
 
 
+def reason(kind: Column, region: Column, element_id: Column, section_path: Column) -> Column:
+    """Why ``classify`` gives its status."""
+    substantive = kind.isin(*P.SUBSTANTIVE_TYPES)
+    return (
+        F.when(kind == "footnote", "footnotes inform about the text they belong to")
+        .when((region == "Body") & in_section_one(element_id, section_path), "section 1 introduces the publication and should not contain requirements")
+        .when((region == "Body") & substantive, "the body from section 2 on holds the primary technical content")
+        .when((region == "Appendix") & substantive, "an appendix has the same status as the main text")
+        .when((region == "Annex") & substantive, "an annex is not integral to the publication")
+        .when(region.isin("Body", "Appendix", "Annex"), "headings and references only lead through the text")
+        .when(region.isin(*P.APPARATUS_REGIONS), "front matter, references, glossary and back matter only inform")
+        .otherwise("no rule of its own for this type and region")
+    )
+
+
 def section_one_label(section: Column, label: Column) -> Column:
     """By the audit's reading: the section begins with 1, or the label is 1 or 1.x."""
     s, l = X.strip(section), X.strip(label)

@@ -79,6 +79,13 @@ CONTENT = (
     "CASE WHEN element_type = 'table' AND title <> '' AND NOT contains(coalesce(text, ''), title) THEN 'Table title: ' || title END, coalesce(text, ''))"
 )
 SECTION_ONE = f"(starts_with(coalesce(element_id, ''), '1.') OR {rx('''coalesce(element_id, '')''', rf'^1{P.D}{{2}}(?:\.{P.D}+)?$')} OR starts_with(coalesce(section_path[1], ''), '1.'))"
+_SUBSTANTIVE = ", ".join(f"'{x}'" for x in P.SUBSTANTIVE_TYPES)
+REASON = (
+    f"CASE WHEN element_type = 'footnote' THEN 'footnotes inform about the text they belong to' WHEN source_region = 'Body' AND {SECTION_ONE} THEN 'section 1 introduces the publication and should not contain requirements' "
+    f"WHEN element_type IN ({_SUBSTANTIVE}) AND source_region = 'Body' THEN 'the body from section 2 on holds the primary technical content' WHEN element_type IN ({_SUBSTANTIVE}) AND source_region = 'Appendix' THEN 'an appendix has the same status as the main text' "
+    f"WHEN element_type IN ({_SUBSTANTIVE}) AND source_region = 'Annex' THEN 'an annex is not integral to the publication' WHEN source_region IN ('Body', 'Appendix', 'Annex') THEN 'headings and references only lead through the text' "
+    "WHEN source_region IN ('FrontMatter', 'References', 'Glossary', 'BackMatter') THEN 'front matter, references, glossary and back matter only inform' ELSE 'no rule of its own for this type and region' END"
+)
 SUBSTANTIVE = f"element_type IN {values(*P.SUBSTANTIVE_TYPES)}"
 CLASSIFY = (
     f"CASE WHEN element_type = 'footnote' THEN 'Informative' WHEN source_region = 'Body' AND {SECTION_ONE} THEN 'Informational' "
@@ -147,6 +154,7 @@ OR ({rx('line', furniture_name)} AND coalesce({rx('before', P.PAGE_NUMBER)}, fal
         "record_status_counts": f"WITH {R} SELECT element_type, text_status, count(*) AS n FROM r GROUP BY ALL",
         "record_dimension_counts": f"""WITH {R} SELECT 'type' AS dimension, element_type AS value, count(*) AS n FROM r GROUP BY 2 UNION ALL
 SELECT 'status', text_status, count(*) FROM r GROUP BY 2 UNION ALL SELECT 'region', source_region, count(*) FROM r GROUP BY 2""",
+        "rule_reasons": f"WITH {R} SELECT {REASON} AS reason, count(*) AS n FROM r GROUP BY 1",
         "rule_statuses": f"WITH {R} SELECT record_id, {CLASSIFY} AS rule_status FROM r",
         "status_rule_conflicts": f"""WITH {R}, s AS (SELECT element_type, source_region, {CLASSIFY} AS segmenter_status,
 coalesce({expected('element_type', 'source_region', SECTION, "coalesce(element_id, '')", 'false')}, 'none') AS audit_status FROM r)

@@ -57,7 +57,7 @@ def unwrapped_lines(spark, d):
 
 
 def segmented_records(spark, d):
-    return segment.records(table(spark, d, "page_texts"), table(spark, d, "docs")).select("record_id", "document_id", "seq", "element_type", "element_id", "source_region", "text_status", "section_path", "page_start_pdf", "page_end_pdf", "text")
+    return segment.records(table(spark, d, "page_texts"), table(spark, d, "docs")).select("record_id", "document_id", "seq", "element_type", "element_id", "source_region", "text_status", "status_reason", "section_path", "page_start_pdf", "page_end_pdf", "text")
 
 
 def segmented_counts(spark, d):
@@ -77,11 +77,9 @@ def record_status_counts(spark, d):
 
 def record_dimension_counts(spark, d):
     r = _records(spark, d)
-    r.select("element_type", "text_status", "source_region").createOrReplaceTempView("_palimpsest_dims")
-    return spark.sql(
-        "select case grouping_id(element_type, text_status, source_region) when 3 then 'type' when 5 then 'status' else 'region' end as dimension, "
-        "coalesce(element_type, text_status, source_region) as value, count(*) as n from _palimpsest_dims group by grouping sets ((element_type), (text_status), (source_region))"
-    )
+    dims = ["element_type", "text_status", "source_region"]
+    g = r.groupingSets([[c] for c in dims], *dims).agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
+    return g.select(F.when(F.col("g") == 3, "type").when(F.col("g") == 5, "status").otherwise("region").alias("dimension"), F.coalesce(*dims).alias("value"), "n")
 
 
 def status_rule_conflicts(spark, d):
@@ -92,6 +90,10 @@ def rule_statuses(spark, d):
     return _records(spark, d).select("record_id", S.classify(F.col("element_type"), F.col("source_region"), F.col("element_id"), F.col("section_path")).alias("rule_status"))
 
 
+def rule_reasons(spark, d):
+    return _records(spark, d).groupBy(S.reason(F.col("element_type"), F.col("source_region"), F.col("element_id"), F.col("section_path")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 def section_paths(spark, d):
     return _records(spark, d).select("record_id", export.section().alias("section"), F.coalesce(F.size("section_path"), F.lit(0)).cast("long").alias("depth"))
 
@@ -296,7 +298,7 @@ def manifest_texts(spark, d):
 
 _NAMES = (
     page_line_kinds, printed_page_numbers, furniture_lines, unwrapped_lines, segmented_records, segmented_counts, inferred_metadata, record_status_counts, record_dimension_counts,
-    status_rule_conflicts, rule_statuses, section_paths, record_numbers, region_carry_forward, heading_caps, qa_summary, qa_top, chunk_texts, csv_preview, markdown_blocks, document_headers,
+    status_rule_conflicts, rule_statuses, rule_reasons, section_paths, record_numbers, region_carry_forward, heading_caps, qa_summary, qa_top, chunk_texts, csv_preview, markdown_blocks, document_headers,
     part_packing, part_packing_spread, block_roundtrip, manifest_rows, manifest_latest, type_counts, document_changes, document_ids, stable_ids, audit_candidates, audit_clean, audit_corrections, audit_summary,
     audit_top, audit_concentration, category_slugs, file_titles, manifest_texts, control_repair, report_texts, garbage_texts, title_overlap, title_mismatches,
 )

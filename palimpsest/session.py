@@ -19,12 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _temporary(spark: SparkSession, prefix: str) -> str:
+    """A folder of this machine, which only a local session may use."""
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return tempfile.mkdtemp(prefix=prefix)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; a temporary one only where none is named (tests)."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="palimpsest-ckpt-"))
+        sc.setCheckpointDir(named or _temporary(spark, "palimpsest-ckpt-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -39,7 +46,7 @@ def _place(spark: SparkSession, data: bytes) -> str:
     name = f"palimpsest_src_{hashlib.sha1(data).hexdigest()[:12]}.zip"
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        target = os.path.join(tempfile.mkdtemp(prefix="palimpsest-src-"), name)
+        target = os.path.join(_temporary(spark, "palimpsest-src-"), name)
         Path(target).write_bytes(data)
         return target
     jvm = spark.sparkContext._jvm

@@ -35,7 +35,7 @@ def parse_blocks(parts: DataFrame) -> DataFrame:
     per_file = out.groupBy("part_file").agg(F.count("*").alias("n"))
     offset = per_file.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("part_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")  # one row per file
     number = F.row_number().over(Window.partitionBy("part_file").orderBy("pos"))
-    return out.withColumn("_n", number).join(F.broadcast(offset), "part_file").withColumn("original_record_index", (F.col("offset") + F.col("_n")).cast("long")).drop("_n", "offset", "pos")
+    return out.withColumn("_n", number).join(offset, "part_file").withColumn("original_record_index", (F.col("offset") + F.col("_n")).cast("long")).drop("_n", "offset", "pos")
 
 
 def read_parts(spark: SparkSession, path: str, pattern: str = "part_*.md") -> DataFrame:

@@ -306,3 +306,20 @@ def test_reports(spark, tmp_path):
     report.write_csv_rows(tmp_path / "c.csv", [{"a": 1, "z": 2}], ["a"])
     report.write_json_lines(tmp_path / "l.jsonl", [{"a": "é"}])
     assert "Part 1 of 2" in report.preamble("S", 1, 2, [report.document_summary("D", "n", "t", "T", 3)]) and "part_1" in report.parts_readme(["part_1"], 10)
+
+
+def test_number_from_the_file_name(spark):
+    pages = spark.createDataFrame([("in/SSG-4 (Rev. 1) plans.pdf", 1, None, ["no number here"], "2024-01-01"), ("in/x.pdf", 1, None, ["SSG-64"], "2024-01-01")], "source_file string, pdf_page int, printed_page string, lines array<string>, extracted_at string")
+    got = {r["source_file"]: r["series_number"] for r in metadata.infer(pages).collect()}
+    assert got == {"in/SSG-4 (Rev. 1) plans.pdf": "SSG-4 (Rev. 1)", "in/x.pdf": "SSG-64"}
+
+
+def test_only_a_local_session_may_use_its_own_folder(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from palimpsest import session
+
+    with pytest.raises(ValueError):
+        session._temporary(SimpleNamespace(sparkContext=SimpleNamespace(master="yarn")), "x")
