@@ -28,7 +28,9 @@ from palimpsest.session import ship_package
 
 # Letters that look like Latin letters, and the letters they look like.
 CYRILLIC_LIKE = ("аеорсухіѕјԁһӏԛԝАВЕКМНОРСТУХІЅЈԌԚԜЗ", "aeopcyxisjdhlqwABEKMHOPCTYXISJGQW3")
-GREEK_LIKE = ("οϲνυΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹαικρ", "ocvuABEZHIKMNOPTYXCaikp")
+GREEK_LIKE = ("οϲνυΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ", "ocvuABEZHIKMNOPTYXC")
+LISU_LIKE = ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU")
+OTHER_LIKE = ("ɡɑօսᎪᎬᎳᎷᎻᏀᏃᏆᏞᏢᏦᏒᎢ", "gaouAEWMHGZTLPKRT")
 # Signs that look like another sign.
 SIGN_LIKE = {"‐": "-", "‑": "-", "ʼ": "’", ";": ";", "·": "·", "…": "...", "ı": "i", "ӓ": "ä", "Ӓ": "Ä", "ё": "ë", "Ё": "Ë", "ї": "ï", "Ї": "Ï", "ӧ": "ö", "Ӧ": "Ö", "µ": "μ"}
 #: Kinds of compatibility characters that print like their plain form (raised and lowered figures don't).
@@ -42,12 +44,11 @@ def _table() -> dict[str, str]:
         if a != b and t.setdefault(a, b) != b:
             raise ValueError(f"two targets for {a!r}: {t[a]!r}, {b!r}")
 
-    for source, target in (CYRILLIC_LIKE, GREEK_LIKE):
+    for source, target in (CYRILLIC_LIKE, GREEK_LIKE, LISU_LIKE, OTHER_LIKE):
         if len(source) != len(target):
             raise ValueError("lists of unequal length")
         for a, b in zip(source, target):
-            if a not in "αικρ":  # Greek letters that differ in print from a i k p
-                put(a, b)
+            put(a, b)
     for a, b in SIGN_LIKE.items():
         put(a, b)
     for code in (*range(0xA0, 0x250), *range(0x2000, 0x2200), *range(0x3000, 0x3040), *range(0xFB00, 0xFB50), *range(0xFF00, 0xFFEF)):
@@ -63,6 +64,10 @@ def _table() -> dict[str, str]:
             put(c, unicodedata.normalize("NFKC", c))
         elif d and not d.startswith("<") and len(unicodedata.normalize("NFC", c)) == 1:
             put(c, unicodedata.normalize("NFC", c))  # singletons: Ohm, Kelvin and Angstrom signs
+    # the styled alphabets of mathematics are the plain letters to a reader
+    for code in range(0x1D400, 0x1D800):
+        if unicodedata.decomposition(chr(code)).startswith("<font>"):
+            put(chr(code), unicodedata.normalize("NFKC", chr(code)))
     put("﻿", "")
     put("᠎", "")
     # a target must not itself be mapped
@@ -196,6 +201,30 @@ def readings(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     return plain.unionByName(other)
 
 
+def _keyed(records: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Readings of both fields, and the columns of the key under which equal readings meet."""
+    text = readings(records, "text", ["document_id", "record_id"]).withColumn("field", F.lit("text")).withColumn("kind", F.lit(""))
+    ids = (
+        readings(records.where("element_type is not null"), "element_id", ["document_id", "record_id", "element_type"])
+        .withColumn("field", F.lit("element_id"))
+        .withColumnRenamed("element_type", "kind")
+    )
+    return text.unionByName(ids).where("document_id is not null and record_id is not null"), ["document_id", "field", "kind", "rh", "rh2"]
+
+
+def look_alike_classes(records: DataFrame) -> DataFrame:
+    """field, document_id, record_id, class_id, n_forms, n_records, n_links: one row per record that reads like another one of its document but differs.
+
+    A class is all records of one reading; of its records, those of other
+    forms are a record's links, so no pairs are made.
+    """
+    every, key = _keyed(records)
+    forms = every.select(*key, "record_id", "vh").distinct().groupBy(*key, "vh").agg(F.count("*").alias("n"))
+    classes = forms.groupBy(*key).agg(F.count("*").alias("n_forms"), F.sum("n").alias("n_records")).where("n_forms > 1")
+    rows = every.select(*key, "record_id", "vh").distinct().join(classes, key).join(forms, [*key, "vh"])
+    return rows.select("field", "document_id", "record_id", F.hex(F.xxhash64("kind", "rh", "rh2")).alias("class_id"), "n_forms", "n_records", (F.col("n_records") - F.col("n")).alias("n_links"))
+
+
 def look_alike_pairs(records: DataFrame) -> DataFrame:
     """(field, record_id_a, record_id_b): records of a document that read the same but differ.
 
@@ -203,14 +232,7 @@ def look_alike_pairs(records: DataFrame) -> DataFrame:
     values probe the table; the join key holds the reading, so no group of a
     document or of plain copies is ever paired with itself.
     """
-    text = readings(records, "text", ["document_id", "record_id"]).withColumn("field", F.lit("text")).withColumn("kind", F.lit(""))
-    ids = (
-        readings(records.where("element_type is not null"), "element_id", ["document_id", "record_id", "element_type"])
-        .withColumn("field", F.lit("element_id"))
-        .withColumnRenamed("element_type", "kind")
-    )
-    both = text.unionByName(ids).where("document_id is not null and record_id is not null")
-    key = ["document_id", "field", "kind", "rh", "rh2"]
+    both, key = _keyed(records)
     odd = both.where("odd").select(*key, F.col("record_id").alias("a"), F.col("vh").alias("vh_a")).distinct()
     every = both.select(*key, F.col("record_id").alias("b"), F.col("vh").alias("vh_b"))
     pairs = odd.join(every, key).where("vh_a <> vh_b and a <> b")

@@ -44,6 +44,10 @@ def _p4_found(spark, d):
     return glyphs.look_alike_pairs(table(spark, d, "records"))
 
 
+def _p4_classes(spark, d):
+    return glyphs.look_alike_classes(table(spark, d, "records"))
+
+
 def _p4_normalized(spark, d):
     return glyphs.normalize_records(table(spark, d, "records"))
 
@@ -89,6 +93,7 @@ def queries() -> dict[str, Query]:
         "p3_found": _p3_found,
         "p3_repaired": _p3_repaired,
         "p4_found": _p4_found,
+        "p4_classes": _p4_classes,
         "p4_normalized": _p4_normalized,
         "p5_found": _p5_found,
         "p5_statistics": _p5_statistics,

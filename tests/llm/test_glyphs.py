@@ -74,3 +74,18 @@ def test_hot_document_and_long_text(spark):
 def test_normalize(spark):
     got = {r["record_id"]: r for r in G.normalize_records(make(spark, ROWS)).collect()}
     assert got["r2"]["text"] == ROWS[0][4] and got["r2"]["element_id"] == "2.7" and "r1" not in got and "r10" not in got
+
+
+def test_letters_of_other_alphabets():
+    assert G.reading("𝐀𝑏𝟏 ꓐꓳꓫ Ꭺɡɑօ") == "Ab1 BOX Agao"
+    assert G.reading("α ι κ ρ") == "α ι κ ρ"  # these differ in print
+
+
+def test_classes_hold_the_pairs(spark):
+    columns = "record_id string, document_id string, element_type string, element_id string, text string"
+    rows = [(f"r{i}", "d", "paragraph", None, t) for i, t in enumerate(["valve A", "valve A", "vаlve A", "valve\u00a0A", "valve B", None, ""])] + [("s1", "e", "paragraph", None, "vаlve A")]
+    df = spark.createDataFrame(rows, columns)
+    got = {r["record_id"]: (r["n_forms"], r["n_records"], r["n_links"]) for r in G.look_alike_classes(df.unionByName(df)).collect()}
+    pairs = [tuple(r)[1:] for r in G.look_alike_pairs(df).collect()]
+    assert got == {"r0": (3, 4, 2), "r1": (3, 4, 2), "r2": (3, 4, 3), "r3": (3, 4, 3)}
+    assert {r: sum(r in p for p in pairs) for r in got} == {r: n for r, (_, _, n) in got.items()}
