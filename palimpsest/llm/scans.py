@@ -307,6 +307,9 @@ def candidates(words: DataFrame, vocabulary: DataFrame, *, edits: bool = True) -
             return pd.DataFrame([], columns=[c.split()[0] for c in CANDIDATES.split(", ")])
         return _search(Trie(dict(zip(known["meant"], known["n_meant"].tolist()))), asked["word"].tolist(), asked["n"].tolist(), edits)
 
+    # searching takes time, not room: partitions by number, which are not coalesced by their size
+    n = min(parts * shards, 10_000)
+    asked, known = (x.repartition(n, "part", "shard") for x in (asked, known))
     return asked.groupBy("part", "shard").cogroup(known.groupBy("part", "shard")).applyInPandas(search, CANDIDATES)
 
 
