@@ -83,10 +83,10 @@ def _table() -> dict[str, str]:
 def compiled() -> tuple[dict[str, str], re.Pattern]:
     t = _table()
     marks = "̀-ͯ"
-    single = "".join(re.escape(x) for x in t)
+    single = "".join(re.escape(x) for x in t if x <= "\uffff")  # a class with letters beyond is searched one by one
     gone = "".join(re.escape(a) for a, b in t.items() if b == "")
     # longest match first: a letter with its marks (invisible signs between are skipped), a run of white space, one mapped character
-    return t, re.compile(f"[^\\s{marks}{gone}](?:[{gone}]*[{marks}])+|[\\s{''.join(re.escape(a) for a, b in t.items() if b == ' ')}](?:[\\s{''.join(re.escape(a) for a, b in t.items() if b == ' ')}]|[{gone}])*|[{single}{marks}]")
+    return t, re.compile(f"[^\\s{marks}{gone}](?:[{gone}]*[{marks}])+|[\\s{''.join(re.escape(a) for a, b in t.items() if b == ' ')}](?:[\\s{''.join(re.escape(a) for a, b in t.items() if b == ' ')}]|[{gone}])*|[{single}{marks}]|[\U0001d400-\U0001d7ff]")
 
 
 _BREAK = re.compile(r"[^\S\n]*\n\s*")
