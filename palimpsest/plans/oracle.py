@@ -253,9 +253,14 @@ SELECT document_id, array_to_string(list_transform(string_split(s, ' '), lambda
     out["qa_summary"] = f"""WITH every AS ({every.replace(out['qa_record_ids'], out['qa_record_ids'].replace('FROM records QUALIFY', f'FROM (WITH {R} SELECT * FROM r) QUALIFY'))}), e AS (SELECT "check", severity, coalesce(nullif(doc_id, ''), '<series>') AS doc_id FROM every)
 SELECT 'check' AS dimension, "check" AS value, count(*) AS n FROM e GROUP BY 2 UNION ALL SELECT 'severity', severity, count(*) FROM e GROUP BY 2
 UNION ALL SELECT 'document', doc_id, count(*) FROM e GROUP BY 2 UNION ALL SELECT 'total', 'all', count(*) FROM e"""
+    ranks = "CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 9 END"
+    whole = " UNION ALL ".join(f'SELECT "check", severity, doc_id, page, record_id, reason FROM ({out[k]})' for k in checks)
+    out["qa_top"] = f"SELECT severity, doc_id, page, record_id, reason FROM ({whole}) ORDER BY {ranks}, doc_id NULLS FIRST, page NULLS FIRST, record_id NULLS FIRST, \"check\", reason LIMIT 20"
     labels = [k for k in out if k.startswith("audit_") and k != "audit_top"]
     out["audit_candidates"] = " UNION ALL ".join(f"SELECT stable_internal_id, error_label, severity, confidence, auto_fixed FROM ({out[k]})" for k in labels)
     c = out["audit_candidates"]
+    out["audit_top"] = f"""WITH c AS ({c}), {K} SELECT stable_internal_id, severity, confidence, doc FROM c JOIN k USING (stable_internal_id)
+ORDER BY {ranks}, confidence DESC, doc NULLS FIRST, CAST(original_record_index AS VARCHAR) NULLS FIRST, error_label LIMIT 20"""
     out["audit_summary"] = f"""WITH c AS ({c}) SELECT 'raw_record_count' AS metric, count(*) AS n FROM knowledge UNION ALL SELECT 'clean_record_count', count(DISTINCT stable_internal_id) FROM knowledge
 UNION ALL SELECT 'label:' || error_label, count(*) FROM c GROUP BY 1 UNION ALL SELECT 'severity:' || severity, count(*) FROM c GROUP BY 1 UNION ALL SELECT 'manual_review_count', count(*) FROM c WHERE NOT auto_fixed"""
     out["audit_concentration"] = f"""WITH c AS ({c}), {K}, r AS (SELECT doc, count(*) AS n_records FROM k GROUP BY 1), d AS (SELECT doc, count(*) AS n_candidates FROM c JOIN k USING (stable_internal_id) GROUP BY 1)
