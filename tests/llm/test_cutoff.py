@@ -117,3 +117,46 @@ def test_threshold():
 
     assert C.best_threshold(np.array([5.0, 6.0, 9.0] * 50), np.array([-8.0, 2.0, 2.5] * 50)) == 2.5
     assert C.best_threshold(np.array([5.0, 6.0, 9.0] * 50), np.array([-8.0, -7.0] * 50)) == 0.0
+
+
+def test_thresholds_use_all_lines_of_all_texts(spark, monkeypatch):
+    """Every running line and every open line within a text counts, those of a text that is met again once."""
+    whole, cut = texts(60)
+    lines = [C.pieces(t)[:2] for t in whole + cut]
+    seen, best = [], C.best_threshold
+    monkeypatch.setattr(C, "best_threshold", lambda *x: seen.append([sum(n) for n in x[2:]] or [len(s) for s in x]) or best(*x))
+    rows = list(enumerate(whole + cut))
+    for df in (make(spark, rows), make(spark, rows + [(1000 + d, t) for d, t in rows[:20]] + rows[:10])):
+        seen.clear()
+        C.scored(df)
+        assert seen[0] == [sum(len(a) for a, _ in lines), sum(len(b) for _, b in lines)]
+
+
+def test_repeats_equal_brute_force():
+    import numpy as np
+
+    g, line = C.line_grams([C.FIRST + x for x in ("list of annexes", "annexes annexes annexes", "Annex V: list", "aaaaaaaaaa", "list of annexes")], C.ENDS)
+    met, at = np.unique(g, return_inverse=True)
+    for k, got in enumerate(C._repeats(*C._first_highest(met), at, line)):
+        key = list(zip(line.tolist(), (g & ((1 << C.BITS * k) - 1)).tolist()))
+        assert got.tolist() == [key.count(x) for x in key]
+
+
+def test_blocks_and_memory_change_no_score(monkeypatch):
+    import numpy as np
+
+    lines = [C.pieces(t)[:2] for t in texts(30)[0]]
+    running, ending = [x for a, _ in lines for x in a], [x for _, b in lines for x in b]
+    g = [np.unique(x, return_counts=True) for x in C._counted(running, ending)]
+    counts = {C.GOES_ON: g[0], C.ENDS: g[1]}
+    cut = [x[: 2 + i % (len(x) - 2)] for i, x in enumerate(running)]
+
+    def odds():
+        m = C.CutModel(counts, (np.zeros(0, np.int64), np.zeros(0)), False)
+        return np.concatenate([m.log_odds(x, k, 1.0 + np.arange(len(x)) % 2) for k, x in ((C.GOES_ON, cut[:9]), (C.ENDS, ending), (C.GOES_ON, cut))])
+
+    want = odds()
+    for name, value in (("AT_ONCE", 1), ("AT_ONCE", 1 << 20), ("REMEMBERED", 1), ("SHORT", 1), ("SHORT", C.ORDER - 1)):
+        with monkeypatch.context() as m:
+            m.setattr(C, name, value)
+            assert np.allclose(odds(), want, rtol=0, atol=1e-9), name
